@@ -1,0 +1,11 @@
+"""Rounding that every SQL engine does alike."""
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def fixed(col, digits=2) -> Column:
+    """Half-up rounding through floor; round(double) breaks ties differently per engine."""
+    col = F.col(col) if isinstance(col, str) else col
+    scale = float(10**digits)
+    return (F.floor(col * scale + 0.5) / scale).cast("double")
