@@ -50,9 +50,10 @@ def segments(elements: DataFrame, id_col="element_id", geom="geom") -> DataFrame
             F.get(F.col("pts"), i + 1)["y"].alias("y2"),
         ),
     )
+    # per-element values first, so that the vertex array is not copied to every segment
     return lines.select(
-        "eid", n_seg.alias("n_seg"), F.array_max(extents).alias("reach"), F.inline(rows)
-    )
+        "eid", "pts", n_seg.alias("n_seg"), F.array_max(extents).alias("reach")
+    ).select("eid", "n_seg", "reach", F.inline(rows))
 
 
 def edges(zones: DataFrame, id_col="zone_id", geom="geom") -> DataFrame:
@@ -84,6 +85,11 @@ def bbox(points: Column) -> Column:
     )
 
 
+def dbl(value: float) -> str:
+    """SQL literal of type double; a plain 1.5 would be a decimal."""
+    return f"{float(value)!r}D"
+
+
 def x_at(y: str) -> str:
     """x where the line through (x1,y1),(x2,y2) has the given y, kept inside the segment."""
     return (
@@ -94,23 +100,23 @@ def x_at(y: str) -> str:
 
 def explode_rows(df: DataFrame, size: float) -> DataFrame:
     """One row per grid row met by the segment: adds gy and the column range gx_a..gx_b."""
-    eps = size * CELL_SLACK
-    lo = f"greatest(least(y1, y2), gy * {size!r} - {eps!r})"
-    hi = f"least(greatest(y1, y2), (gy + 1) * {size!r} + {eps!r})"
+    g, eps = dbl(size), dbl(size * CELL_SLACK)
+    lo = f"greatest(least(y1, y2), gy * {g} - {eps})"
+    hi = f"least(greatest(y1, y2), (gy + 1) * {g} + {eps})"
     span = df.withColumn(
         "gy",
         F.expr(
-            f"explode(sequence(floor((least(y1, y2) - {eps!r}) / {size!r}),"
-            f" floor((greatest(y1, y2) + {eps!r}) / {size!r})))"
+            f"explode(sequence(floor((least(y1, y2) - {eps}) / {g}),"
+            f" floor((greatest(y1, y2) + {eps}) / {g})))"
         ),
     )
     left = f"coalesce(least({x_at(lo)}, {x_at(hi)}), least(x1, x2))"
     right = f"coalesce(greatest({x_at(lo)}, {x_at(hi)}), greatest(x1, x2))"
     flat = "y1 = y2"
     return span.withColumn(
-        "gx_a", F.expr(f"floor((if({flat}, least(x1, x2), {left}) - {eps!r}) / {size!r})")
+        "gx_a", F.expr(f"floor((if({flat}, least(x1, x2), {left}) - {eps}) / {g})")
     ).withColumn(
-        "gx_b", F.expr(f"floor((if({flat}, greatest(x1, x2), {right}) + {eps!r}) / {size!r})")
+        "gx_b", F.expr(f"floor((if({flat}, greatest(x1, x2), {right}) + {eps}) / {g})")
     )
 
 

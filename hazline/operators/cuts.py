@@ -54,7 +54,9 @@ def cut_points(seg: DataFrame, boundary: DataFrame, size: float) -> DataFrame:
         )
         .withColumnsRenamed({"x1": "qx", "y1": "qy", "x2": "px", "y2": "py"})
     )
-    met = left.join(right, ["gx", "gy"]).where(
+    # Both sides grow with the data, and an exploded side is larger than the planner thinks:
+    # sort-merge, whose hot cells adaptive execution splits.
+    met = left.join(right.hint("merge"), ["gx", "gy"]).where(
         "least(x1, x2) <= px AND greatest(x1, x2) >= qx"
         " AND least(y1, y2) <= greatest(qy, py) AND greatest(y1, y2) >= least(qy, py)"
         " AND (is_zone OR owner_lo <> eid OR owner_hi <> eid)"

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazline.functions.geometry import PART_CELLS
+from hazline.functions.geometry import PART_CELLS, dbl
 from hazline.operators.grid import CHUNK_SEGMENTS, Grid
 from hazline.session import Stage
 
@@ -28,7 +28,7 @@ def _with_chunks(seg: DataFrame, cuts: DataFrame, grid: Grid) -> DataFrame:
             "*", "0 AS c1", "0 AS c2", "1D AS t_end", "false AS multi"
         )
     span = grid.size * PART_CELLS
-    n_part = f"CAST(greatest(1, ceil(greatest(abs(x2 - x1), abs(y2 - y1)) / {span!r})) AS INT)"
+    n_part = f"CAST(greatest(1, ceil(greatest(abs(x2 - x1), abs(y2 - y1)) / {dbl(span)})) AS INT)"
     # A long segment's further parts start at points that are neither vertex nor cut.
     inner = (
         starts.withColumn("n_part", F.expr(n_part))
@@ -43,7 +43,7 @@ def _with_chunks(seg: DataFrame, cuts: DataFrame, grid: Grid) -> DataFrame:
         # a cut at a segment start comes without coordinates: part 0, end unknown
         .withColumn("n_part", F.expr(f"if(x1 IS NULL, NULL, {n_part})"))
         .withColumn("part", F.expr("coalesce(least(n_part - 1, CAST(floor(t * n_part) AS INT)), 0)"))
-        .withColumn("wide", F.expr(f"reach > {span!r}"))
+        .withColumn("wide", F.expr(f"reach > {dbl(span)}"))
         .selectExpr(
             "*",
             f"if(wide, sn, CAST(floor(sn / {CHUNK_SEGMENTS}) AS INT)) AS c1",

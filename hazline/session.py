@@ -66,7 +66,7 @@ class Stage:
         self.root = f"{folder or shared_dir(spark)}/stage-{uuid.uuid4().hex}"
 
     def put(self, name: str, df: DataFrame) -> DataFrame:
-        path = f"{self.root}/{name}"
+        path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
