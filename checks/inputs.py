@@ -23,6 +23,8 @@ _OVERLAYS: dict[tuple, "Overlay"] = {}
 class Layers:
     elements: DataFrame
     zones: DataFrame
+    elements_path: str
+    zones_path: str
 
 
 @dataclass(frozen=True)
@@ -39,9 +41,10 @@ def layers(spark: SparkSession, sf_dir: str) -> Layers:
     key = _key(spark, sf_dir)
     if key not in _LAYERS:
         stage = Stage(spark)
+        elements = stage.write("elements", fixtures.elements(spark, sf_dir))
+        zones = stage.write("zones", fixtures.zones(spark, sf_dir))
         _LAYERS[key] = Layers(
-            stage.put("elements", fixtures.elements(spark, sf_dir)),
-            stage.put("zones", fixtures.zones(spark, sf_dir)),
+            spark.read.parquet(elements), spark.read.parquet(zones), elements, zones
         )
     return _LAYERS[key]
 

@@ -521,14 +521,12 @@ LEFT JOIN rs ON rs.route_code = e.route_code""")
 def study_run(spark, sf_dir):
     """A whole study from layer files to the route layer."""
     data = layers(spark, sf_dir)
-    stage, store = Stage(spark), _store(spark)
-    stage.put("zones", data.zones)
     result = run_study(
         spark,
-        store,
+        _store(spark),
         "whole study",
-        data.zones.inputFiles()[0].rsplit("/", 1)[0],
-        data.elements.inputFiles()[0].rsplit("/", 1)[0],
+        data.zones_path,
+        data.elements_path,
         *_parameters(spark),
         extent=None,
     )

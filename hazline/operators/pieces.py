@@ -33,9 +33,10 @@ def _with_chunks(seg: DataFrame, cuts: DataFrame, grid: Grid) -> DataFrame:
     inner = (
         starts.withColumn("n_part", F.expr(n_part))
         .where("n_part > 1")
-        .withColumn("t", F.expr("explode(sequence(1, n_part - 1))") / F.col("n_part"))
+        .withColumn("part", F.expr("explode(sequence(1, n_part - 1))"))
+        .withColumn("t", F.col("part") / F.col("n_part"))
         .withColumn("virtual", F.lit(1))
-        .drop("n_part")
+        .drop("n_part", "part")
     )
     return (
         starts.unionByName(inner)

@@ -65,10 +65,13 @@ class Stage:
         self.spark = spark
         self.root = f"{folder or shared_dir(spark)}/stage-{uuid.uuid4().hex}"
 
-    def put(self, name: str, df: DataFrame) -> DataFrame:
+    def write(self, name: str, df: DataFrame) -> str:
         path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return path
+
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        return self.spark.read.schema(df.schema).parquet(self.write(name, df))
 
     def close(self) -> None:
         delete_path(self.spark, self.root)
