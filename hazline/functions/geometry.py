@@ -57,10 +57,20 @@ def segments(elements: DataFrame, id_col="element_id", geom="geom") -> DataFrame
 
 
 def edges(zones: DataFrame, id_col="zone_id", geom="geom") -> DataFrame:
-    """One row per ring edge of positive length: zid, ring, k, x1..y2. Open rings are closed."""
-    ring = zones.select(
-        F.col(id_col).cast("bigint").alias("zid"), F.posexplode(geom).alias("ring", "pts")
+    """One row per ring edge of positive length: zid, edge_mean, ring, k, x1..y2.
+
+    Open rings are closed. edge_mean is the mean extent of the zone's edges.
+    """
+    extents = (
+        f"flatten(transform({geom}, r -> transform(r, (p, i) -> greatest("
+        "abs(get(r, (i + 1) % size(r)).x - p.x), abs(get(r, (i + 1) % size(r)).y - p.y)))))"
     )
+    total = f"aggregate({extents}, 0D, (total, e) -> total + e)"
+    ring = zones.select(
+        F.col(id_col).cast("bigint").alias("zid"),
+        F.col(geom).alias("rings"),
+        F.expr(f"{total} / size(flatten({geom}))").alias("edge_mean"),
+    ).select("zid", "edge_mean", F.posexplode("rings").alias("ring", "pts"))
     rows = F.transform(
         "pts",
         lambda p, i: F.struct(
@@ -71,7 +81,7 @@ def edges(zones: DataFrame, id_col="zone_id", geom="geom") -> DataFrame:
             F.get(F.col("pts"), (i + 1) % F.size("pts"))["y"].alias("y2"),
         ),
     )
-    return ring.select("zid", "ring", F.inline(rows)).where("x1 <> x2 OR y1 <> y2")
+    return ring.select("zid", "edge_mean", "ring", F.inline(rows)).where("x1 <> x2 OR y1 <> y2")
 
 
 def bbox(points: Column) -> Column:
@@ -98,32 +108,58 @@ def x_at(y: str) -> str:
     )
 
 
-def explode_rows(df: DataFrame, size: float) -> DataFrame:
-    """One row per grid row met by the segment: adds gy and the column range gx_a..gx_b."""
-    g, eps = dbl(size), dbl(size * CELL_SLACK)
+def _columns_in_row(g: str, eps: str) -> tuple[str, str]:
+    """First and last grid column the segment meets within grid row gy."""
     lo = f"greatest(least(y1, y2), gy * {g} - {eps})"
     hi = f"least(greatest(y1, y2), (gy + 1) * {g} + {eps})"
-    span = df.withColumn(
-        "gy",
-        F.expr(
-            f"explode(sequence(floor((least(y1, y2) - {eps}) / {g}),"
-            f" floor((greatest(y1, y2) + {eps}) / {g})))"
-        ),
-    )
     left = f"coalesce(least({x_at(lo)}, {x_at(hi)}), least(x1, x2))"
     right = f"coalesce(greatest({x_at(lo)}, {x_at(hi)}), greatest(x1, x2))"
-    flat = "y1 = y2"
-    return span.withColumn(
-        "gx_a", F.expr(f"floor((if({flat}, least(x1, x2), {left}) - {eps}) / {g})")
-    ).withColumn(
-        "gx_b", F.expr(f"floor((if({flat}, greatest(x1, x2), {right}) + {eps}) / {g})")
+    return (
+        f"floor((if(y1 = y2, least(x1, x2), {left}) - {eps}) / {g})",
+        f"floor((if(y1 = y2, greatest(x1, x2), {right}) + {eps}) / {g})",
     )
 
 
+def explode_rows(df: DataFrame, cell: str) -> DataFrame:
+    """One row per grid row met by the segment: adds gy and the column range gx_a..gx_b.
+
+    cell is the cell size, a SQL literal or column.
+    """
+    eps = f"({cell} * {dbl(CELL_SLACK)})"
+    first = f"floor((least(y1, y2) - {eps}) / {cell})"
+    last = f"floor((greatest(y1, y2) + {eps}) / {cell})"
+    span = df.withColumn("gy", F.expr(f"explode(sequence({first}, {last}))"))
+    gx_a, gx_b = _columns_in_row(cell, eps)
+    return span.withColumn("gx_a", F.expr(gx_a)).withColumn("gx_b", F.expr(gx_b))
+
+
 def explode_cells(df: DataFrame, size: float) -> DataFrame:
     """One row per grid cell met by the segment (gx, gy); linear in the segment's length."""
     return (
-        explode_rows(df, size)
+        explode_rows(df, dbl(size))
         .withColumn("gx", F.expr("explode(sequence(gx_a, gx_b))"))
         .drop("gx_a", "gx_b")
     )
+
+
+def explode_sub_cells(df: DataFrame, size: float) -> DataFrame:
+    """Replaces cell (gx, gy) by the 2^k by 2^k cells of it that the segment meets."""
+    cell, eps = f"({dbl(size)} / shiftleft(1, k))", dbl(size * CELL_SLACK)
+    rows = (
+        df.withColumnsRenamed({"gx": "bx", "gy": "by"})
+        .withColumn("lo", F.expr(f"greatest(floor((least(y1, y2) - {eps}) / {cell}), shiftleft(by, k))"))
+        .withColumn(
+            "hi",
+            F.expr(f"least(floor((greatest(y1, y2) + {eps}) / {cell}), shiftleft(by + 1, k) - 1)"),
+        )
+        .where("lo <= hi")
+        .withColumn("gy", F.expr("explode(sequence(lo, hi))"))
+    )
+    gx_a, gx_b = _columns_in_row(cell, eps)
+    return (
+        rows.withColumn("lo", F.expr(f"greatest({gx_a}, shiftleft(bx, k))"))
+        .withColumn("hi", F.expr(f"least({gx_b}, shiftleft(bx + 1, k) - 1)"))
+        .where("lo <= hi")
+        .withColumn("gx", F.expr("explode(sequence(lo, hi))"))
+        .drop("lo", "hi", "bx", "by")
+    )

@@ -3,7 +3,14 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazline.functions.geometry import explode_cells
+from hazline.functions.geometry import explode_cells, explode_sub_cells
+
+# A cell with more boundaries than this is refined ...
+DENSE_CELL = 512
+# ... if it also holds more than this share of all: then there are fewer such cells than
+# the inverse of the share, and their list can be broadcast.
+DENSE_SHARE = 1 / 4096
+_MAX_REFINEMENT = 12
 
 _KEY = ["qx", "qy", "px", "py"]
 
@@ -41,22 +48,52 @@ def boundaries(edge: DataFrame, seg: DataFrame | None = None) -> DataFrame:
     )
 
 
+def dense_cells(cells: DataFrame) -> DataFrame | None:
+    """(gx, gy, k) of the cells to be refined 2^k by 2^k, None where there are none.
+
+    At most 1 / DENSE_SHARE rows pass through the driver, whatever the data.
+    """
+    counts = cells.groupBy("gx", "gy").agg(F.count("*").alias("n"))
+    row = counts.agg(F.sum("n").alias("total"), F.max("n").alias("top")).first()
+    limit = max(DENSE_CELL, (row["total"] or 0) * DENSE_SHARE)
+    if (row["top"] or 0) <= limit:
+        return None
+    level = F.ceil(F.log2(F.col("n") / DENSE_CELL) / 2) + 2
+    dense = counts.where(F.col("n") > limit).select(
+        "gx", "gy", F.least(level, F.lit(_MAX_REFINEMENT)).cast("int").alias("k")
+    )
+    return cells.sparkSession.createDataFrame(dense.collect(), dense.schema)
+
+
+def _refine(cells: DataFrame, dense: DataFrame, size: float) -> DataFrame:
+    return explode_sub_cells(
+        cells.join(F.broadcast(dense), ["gx", "gy"], "left").withColumn(
+            "k", F.coalesce("k", F.lit(0))
+        ),
+        size,
+    )
+
+
 def cut_points(seg: DataFrame, boundary: DataFrame, size: float) -> DataFrame:
     """Cuts (eid, sn, t) with 0 <= t < 1, at the segment that starts at or holds the cut.
 
-    Both sides meet on the grid cell, an equality key. A crossing in a shared cell
-    border shows up in each cell; the caller merges equal cuts.
+    Both sides meet on the grid cell, an equality key. A cell that holds a large share of
+    all boundaries is refined until its cells are as full as others, so the pairs tried
+    stay in proportion to the segments. A crossing in a shared cell border shows up in
+    each cell; the caller merges equal cuts.
     """
     left = explode_cells(seg, size)
-    right = (
-        explode_cells(
-            boundary.withColumnsRenamed({"qx": "x1", "qy": "y1", "px": "x2", "py": "y2"}), size
-        )
-        .withColumnsRenamed({"x1": "qx", "y1": "qy", "x2": "px", "y2": "py"})
+    right = explode_cells(
+        boundary.withColumnsRenamed({"qx": "x1", "qy": "y1", "px": "x2", "py": "y2"}), size
     )
+    key = ["gx", "gy"]
+    dense = dense_cells(right)
+    if dense is not None:
+        left, right, key = _refine(left, dense, size), _refine(right, dense, size), [*key, "k"]
+    right = right.withColumnsRenamed({"x1": "qx", "y1": "qy", "x2": "px", "y2": "py"})
     # Both sides grow with the data, and an exploded side is larger than the planner thinks:
     # sort-merge, whose hot cells adaptive execution splits.
-    met = left.join(right.hint("merge"), ["gx", "gy"]).where(
+    met = left.join(right.hint("merge"), key).where(
         "least(x1, x2) <= px AND greatest(x1, x2) >= qx"
         " AND least(y1, y2) <= greatest(qy, py) AND greatest(y1, y2) >= least(qy, py)"
         " AND (is_zone OR owner_lo <> eid OR owner_hi <> eid)"

@@ -1,5 +1,6 @@
 """The overlay: elements split at zone boundaries, and the piece-zone intersection table."""
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -39,8 +40,12 @@ def split_at_zones(
     split_at_elements: bool = False,
     geometry: bool = True,
     piece_bits: int = PIECE_BITS,
+    save: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Split:
-    """Splits the elements at the boundaries of all zones, those without events included."""
+    """Splits the elements at the boundaries of all zones, those without events included.
+
+    The pieces are materialised once, by save (which returns the stored table) or in stage.
+    """
     seg, edge = segments(elements), edges(zones)
     grid = choose_grid(seg, edge, cell_size)
     boundary = boundaries(edge, seg if split_at_elements else None)
@@ -55,7 +60,9 @@ def split_at_zones(
         .withColumn("element_feature_id", piece_id(bits=piece_bits))
         .withColumnsRenamed({"eid": "element_id", "length": "element_size"})
     )
-    return Split(stage.put("pieces", with_attributes), edge, grid)
+    if save is None:
+        return Split(stage.put("pieces", with_attributes), edge, grid)
+    return Split(save(with_attributes), edge, grid)
 
 
 def intersect(split: Split, zones: DataFrame, stage: Stage, min_size: float = 0.0) -> DataFrame:

@@ -5,9 +5,10 @@ import random
 import pytest
 
 from hazline.functions import geometry
-from hazline.operators import grid, pieces
+from hazline.functions.geometry import edges
+from hazline.operators import cuts, grid, pieces, tessellate
 from tests import brute
-from tests.layers import assert_same, engine_overlay
+from tests.layers import assert_same, engine_overlay, zones_df
 
 
 def random_layers(seed, n_lines=80, n_zones=15, span=60):
@@ -68,3 +69,23 @@ def test_large_zone_with_inner_blocks_of_several_levels(spark):
         i: [(7 * i - 50, -20), (5 * i + 30, 180), (450 - 3 * i, 420)] for i in range(80)
     }
     assert_same(engine_overlay(spark, lines, zones, 3.0), brute.overlay(lines, zones))
+
+
+def test_dense_cells_are_refined(spark, monkeypatch):
+    monkeypatch.setattr(cuts, "DENSE_CELL", 3)
+    monkeypatch.setattr(cuts, "DENSE_SHARE", 0)
+    lines, zones = random_layers(7)
+    assert_same(engine_overlay(spark, lines, zones, 23.0), brute.overlay(lines, zones))
+
+
+def test_zone_of_fine_detail_lies_on_a_finer_grid(spark):
+    saw = [(x, 40 + 2 * (x % 2)) for x in range(0, 60)] + [(59, 20), (0, 20)]
+    zones = {
+        1: [[(-200, -150), (250, -180), (300, 200), (-180, 220)]],
+        2: [saw],
+        3: [[(30, 30), (31, 30), (31, 31), (30, 31)]],
+    }
+    grids = edges(zones_df(spark, zones)).selectExpr(f"{tessellate.fine_grid(100.0)} AS g")
+    assert grids.distinct().count() == 3
+    lines = {i: [(-20, 3 * i - 10), (25, 41), (80, 60 - 4 * i)] for i in range(25)}
+    assert_same(engine_overlay(spark, lines, zones, 100.0), brute.overlay(lines, zones))

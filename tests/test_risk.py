@@ -1,0 +1,103 @@
+"""Costs per element and route, against sums written out by hand."""
+
+import pytest
+
+from hazline.operators import risk
+from hazline.operators.quality import ImportFailed, load_report, load_status, require_success
+from hazline.schema import INTERSECTION
+from hazline.sources.fixtures import element_types, process_types
+
+# study, piece, zone, type, route, passenger, goods, diversion, process, period, plus, minus, size
+ROWS = [
+    (1, 10, 1, "EV", "A", 100.0, 10.0, 60.0, 1, 10.0, 2.0, 2.0, 50.0),
+    (1, 10, 2, "EV", "A", 100.0, 10.0, 60.0, 2, 100.0, None, None, 50.0),
+    (1, 11, 1, "RV", "A", 200.0, 20.0, 60.0, 1, 10.0, 2.0, 10.0, 30.0),
+    (1, 12, 3, "JB", "B", 100.0, 10.0, 60.0, 1, 0.5, None, None, 20.0),
+    (2, 10, 1, "EV", "A", 100.0, 10.0, 60.0, 1, 10.0, None, None, 50.0),
+]
+
+
+@pytest.fixture(scope="module")
+def pairs(spark):
+    return spark.createDataFrame(ROWS, INTERSECTION)
+
+
+@pytest.fixture(scope="module")
+def params(spark):
+    return element_types(spark), process_types(spark)
+
+
+def closure(days, passenger, goods, vot_p, vot_g):
+    return days * (passenger * vot_p + goods * vot_g)
+
+
+EV1 = closure(0.5, 100, 10, 200, 600)
+EV2 = closure(2, 100, 10, 200, 600)
+RV1 = closure(0.5, 200, 20, 180, 550)
+
+
+def test_element_summary(pairs, params):
+    rows = {(r.study_id, r.element_feature_id): r for r in risk.element_summary(pairs, *params).collect()}
+    assert len(rows) == 4
+    r = rows[1, 10]
+    assert r.hazard_frequency == pytest.approx(0.11)
+    assert r.closure_cost == pytest.approx(0.1 * EV1 + 0.01 * EV2)
+    assert r.repair_cost == pytest.approx(0.1 * 12.5 * 50 + 0.01 * 40 * 50)
+    assert r.reopening_cost == pytest.approx(0.1 * 3000 + 0.01 * 9000)
+    assert r.total_cost == pytest.approx(r.closure_cost + r.repair_cost + r.reopening_cost)
+    first, second = EV1 + 12.5 * 50 + 3000, EV2 + 40 * 50 + 9000
+    assert r.total_cost_low == pytest.approx(first / 12 + second / 100)
+    assert r.total_cost_high == pytest.approx(first / 8 + second / 100)
+    assert r.n_zones == 2
+    assert rows[1, 11].total_cost_high is None  # period less interval is 0
+    assert rows[1, 12].closure_cost is None and rows[1, 12].total_cost is None
+    assert rows[1, 12].repair_cost == pytest.approx(2 * 12.5 * 20)
+    assert rows[2, 10].n_zones == 1
+
+
+def test_an_event_closes_a_route_once(pairs, params):
+    rows = {(r.study_id, r.route_code): r for r in risk.route_summary(pairs, *params).collect()}
+    r = rows[1, "A"]
+    assert r.closure_frequency == pytest.approx(0.11)
+    assert r.closure_cost == pytest.approx(0.1 * max(EV1, RV1) + 0.01 * EV2)
+    assert r.repair_cost == pytest.approx(0.1 * 12.5 * 80 + 0.01 * 40 * 50)
+    assert r.reopening_cost == pytest.approx(0.1 * 3000 + 0.01 * 9000)
+    assert (r.n_elements, r.n_zones) == (2, 2)
+    assert rows[1, "B"].closure_cost is None
+    assert rows[2, "A"].n_elements == 1
+
+
+def test_layers_keep_pieces_without_hazard(spark, pairs, params):
+    ear = spark.createDataFrame(
+        [(1, 10, "A"), (1, 99, "A"), (1, 98, "Z")],
+        "study_id bigint, element_feature_id bigint, route_code string",
+    )
+    by_element = risk.element_layer(ear, risk.element_summary(pairs, *params)).collect()
+    assert {r.element_feature_id: r.n_zones for r in by_element} == {10: 2, 99: None, 98: None}
+    by_route = risk.route_layer(ear, risk.route_summary(pairs, *params)).collect()
+    assert {r.element_feature_id: r.n_zones for r in by_route} == {10: 2, 99: 2, 98: None}
+
+
+def test_orphans(pairs, params):
+    rows = risk.orphans(pairs, params[0], params[1].where("processtype_id <> 2")).collect()
+    assert {tuple(r) for r in rows} == {("element_type", "JB", 1), ("process_type", "2", 1)}
+
+
+def test_load_report_and_status(spark, pairs, params):
+    columns = "element_id bigint, piece_no bigint, route_code string, diversion_time double"
+    good = spark.createDataFrame([(1, 0, "A", 1.0), (1, 1, "B", 1.0), (2, 0, "B", 2.0)], columns)
+    report = load_report(good, pairs, *params)
+    counts = {r.check_name: (r.severity, r.n_rows) for r in report.collect()}
+    assert counts["rows_imported"] == (0, 5)
+    assert counts["return_period_below_1"] == (0, 1)
+    assert counts["route_with_two_diversion_times"] == (0, 1)
+    assert counts["element_type_without_parameters"] == (0, 1)
+    assert load_status(report).first() == (0, True)
+    require_success(report)
+    bad = spark.createDataFrame([(1, 2**20, "A", 1.0), (-1, 0, "A", 1.0)], columns)
+    failed = load_report(bad, pairs, *params)
+    assert load_status(failed).first() == (1, False)
+    with pytest.raises(ImportFailed, match="piece_id_overflow: 2 rows"):
+        require_success(failed)
+    wider = load_report(bad.where("element_id > 0"), pairs, *params, piece_bits=24)
+    assert load_status(wider).first().success
