@@ -6,6 +6,8 @@ zone. No grid, no tessellation and no chunks, so the two sides differ where the
 could go wrong.
 """
 
+from hazline.functions.numbers import HALF
+
 INPUT = """
 WITH q AS MATERIALIZED (
   SELECT l_orderkey, l_linenumber, min(l_partkey) AS pk, min(l_suppkey) AS sk
@@ -207,7 +209,7 @@ rs AS MATERIALIZED (
 
 def fixed(expr: str, name: str, digits: int = 2) -> str:
     scale = 10**digits
-    return f"CAST(floor(({expr}) * {scale}.0::DOUBLE + 0.5) / {scale} AS DOUBLE) AS {name}"
+    return f"CAST(floor(({expr}) * {scale}.0::DOUBLE + {HALF}::DOUBLE) / {scale} AS DOUBLE) AS {name}"
 
 
 ES_COLUMNS = ", ".join(

@@ -12,7 +12,7 @@ from hazline.operators.grid import Grid, choose_grid
 from hazline.operators.pairs import piece_zone_pairs
 from hazline.operators.pieces import PIECE_BITS, piece_id, split_lines
 from hazline.schema import ELEMENT_FIELDS, INTERSECTION, ZONE_FIELDS
-from hazline.session import Stage
+from hazline.session import Stage, spread
 
 EAR_FIELDS = ["study_id", "element_feature_id", *ELEMENT_FIELDS]
 
@@ -48,7 +48,7 @@ def split_at_zones(
     """
     seg, edge = segments(elements), edges(zones)
     grid = choose_grid(seg, edge, cell_size)
-    boundary = boundaries(edge, seg if split_at_elements else None)
+    boundary = stage.put("boundaries", boundaries(edge, seg if split_at_elements else None))
     cuts = cut_points(seg, boundary, grid.size)
     pieces = split_lines(seg, cuts, grid, stage, geometry)
     attributes = elements.select(
@@ -73,7 +73,10 @@ def intersect(split: Split, zones: DataFrame, stage: Stage, min_size: float = 0.
     active = zones.where("event_frequency > 0").select(
         F.col("zone_id").cast("bigint").alias("zid"), *ZONE_FIELDS
     )
-    edge = edges(zones.where("event_frequency > 0"))
+    # one row per edge before cells are listed: a zone with most of the edges is no task of its own
+    edge = stage.put(
+        "edges", spread(edges(zones.where("event_frequency > 0")), "zid", "ring", "k")
+    )
     sized = split.pieces.where(
         (F.col("element_size") > 0) & (F.col("element_size") >= F.lit(float(min_size)))
     )

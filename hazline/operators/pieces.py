@@ -14,6 +14,10 @@ _LEN = "sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))"
 _HEAD = ["h_t", "h_x1", "h_y1", "h_x2", "h_y2"]
 
 
+def _chunk_key(grid: Grid) -> list[str]:
+    return ["eid", "c1", "c2"] if grid.chunked else ["eid"]
+
+
 def _with_chunks(seg: DataFrame, cuts: DataFrame, grid: Grid) -> DataFrame:
     """Segment starts and cuts with their chunk (c1, c2), in line order.
 
@@ -24,9 +28,7 @@ def _with_chunks(seg: DataFrame, cuts: DataFrame, grid: Grid) -> DataFrame:
     starts = seg.selectExpr("*", "0D AS t", "0 AS cut", "0 AS virtual")
     cut = cuts.selectExpr("*", "1 AS cut", "0 AS virtual")
     if not grid.chunked:
-        return starts.unionByName(cut).selectExpr(
-            "*", "0 AS c1", "0 AS c2", "1D AS t_end", "false AS multi"
-        )
+        return starts.unionByName(cut)
     span = grid.size * PART_CELLS
     n_part = f"CAST(greatest(1, ceil(greatest(abs(x2 - x1), abs(y2 - y1)) / {dbl(span)})) AS INT)"
     # A long segment's further parts start at points that are neither vertex nor cut.
@@ -61,25 +63,25 @@ def _sub_segments(seg: DataFrame, cuts: DataFrame, grid: Grid) -> DataFrame:
 
     lp counts the cuts of the chunk up to the stretch. One shuffle, on the chunk.
     """
+    chunk = _chunk_key(grid)
+    values = ["x1", "y1", "x2", "y2", "cut"] + (["t_end", "multi"] if grid.chunked else [])
     merged = (
         _with_chunks(seg, cuts, grid)
-        .repartition("eid", "c1", "c2")
-        .groupBy("eid", "c1", "c2", "sn", "t")
-        .agg(
-            *[F.max(c).alias(c) for c in ("x1", "y1", "x2", "y2", "cut", "t_end", "multi")],
-            F.min("virtual").alias("virtual"),
-        )
+        .repartition(*chunk)
+        .groupBy(*chunk, "sn", "t")
+        .agg(*[F.max(c).alias(c) for c in values], F.min("virtual").alias("virtual"))
     )
-    line = Window.partitionBy("eid", "c1", "c2").orderBy("sn", "t")
+    line = Window.partitionBy(*chunk).orderBy("sn", "t")
+    t_end = F.col("t_end") if grid.chunked else F.lit(1.0)
     return (
         merged.withColumn("lp", F.sum("cut").over(line.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("t2", F.when(F.lead("sn").over(line) == F.col("sn"), F.lead("t").over(line)))
         .withColumn("head", (F.col("cut") == 1) | F.lag("sn").over(line).isNull())
-        .withColumn("t2", F.coalesce("t2", "t_end"))
+        .withColumn("t2", F.coalesce("t2", t_end))
     )
 
 
-def _parts(sub: DataFrame, geometry: bool) -> DataFrame:
+def _parts(sub: DataFrame, grid: Grid, geometry: bool) -> DataFrame:
     """One row per piece and chunk: length, inner point of the first stretch, stretches."""
 
     def first(expr):
@@ -96,7 +98,8 @@ def _parts(sub: DataFrame, geometry: bool) -> DataFrame:
             " if(t2 = 1, x2, x1 + t2 * (x2 - x1)) AS xe, if(t2 = 1, y2, y1 + t2 * (y2 - y1)) AS ye)"
         )
         measures.append(F.collect_list(stretch).alias("stretches"))
-    return sub.groupBy("eid", "c1", "c2", "multi", "lp").agg(*measures)
+    key = [*_chunk_key(grid), "lp"] + (["multi"] if grid.chunked else [])
+    return sub.groupBy(*key).agg(*measures)
 
 
 def _joined_chunks(parts: DataFrame, geometry: bool) -> DataFrame:
@@ -125,7 +128,7 @@ def split_lines(
     seg: DataFrame, cuts: DataFrame, grid: Grid, stage: Stage, geometry: bool = True
 ) -> DataFrame:
     """Pieces (eid, piece_no from 0, length, inner-point columns h_*, geom)."""
-    parts = _parts(_sub_segments(seg, cuts, grid), geometry)
+    parts = _parts(_sub_segments(seg, cuts, grid), grid, geometry)
     single = ["eid", F.col("lp").alias("piece_no"), "length", *_HEAD]
     single += ["stretches"] if geometry else []
     if grid.chunked:

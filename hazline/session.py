@@ -21,6 +21,7 @@ def local_session(cpus="*", partitions=8, memory="8g", app="hazline"):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.codegen.cache.maxEntries", "1000")
         .getOrCreate()
     )
 
@@ -54,6 +55,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows hashed over all shuffle partitions, for work that grows from few or uneven inputs."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *columns)
+
+
 class Stage:
     """Writes a table once so that several consumers read it instead of recomputing it.
 
