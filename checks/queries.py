@@ -81,7 +81,9 @@ SELECT CAST(zid AS BIGINT) AS zone_id, 0 AS ring, CAST(k AS INTEGER) AS k,
   CAST(px AS DOUBLE) AS x2, CAST(py AS DOUBLE) AS y2
 FROM edge""")
 def zones_scan(spark, sf_dir):
-    return edges(fixtures.zones(spark, sf_dir)).withColumnRenamed("zid", "zone_id")
+    return edges(fixtures.zones(spark, sf_dir)).select(
+        F.col("zid").alias("zone_id"), "ring", "k", "x1", "y1", "x2", "y2"
+    )
 
 
 @query(sql.INPUT + """
