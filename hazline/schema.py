@@ -2,23 +2,6 @@
 
 from pyspark.sql import types as T
 
-# Target field -> default source field.
-DEFAULT_FIELDS = {
-    "element_feature_id": "FID_element",
-    "hazardzone_feature_id": "FID_zone",
-    "study_id": "study_id",
-    "elementtype_code": "elementtype_code",
-    "route_code": "route_code",
-    "aadt_passenger": "aadt_passenger",
-    "aadt_goods": "aadt_goods",
-    "diversion_time": "diversion_time",
-    "processtype_id": "processtype_id",
-    "event_frequency": "event_frequency",
-    "freq_interval_plus": "freq_interval_plus",
-    "freq_interval_minus": "freq_interval_minus",
-    "element_size": "Shape_Length",
-}
-
 POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
 LINE = T.ArrayType(POINT)
 RINGS = T.ArrayType(T.ArrayType(POINT))
