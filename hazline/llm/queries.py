@@ -6,9 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hazline.llm.classifier import classify
 from hazline.llm.common import read
 from hazline.llm.packing import pack
 from hazline.llm.records import record_digest, write_indexed
+from hazline.llm.rules import quality_rules
+from hazline.llm.search import top_k
 from hazline.llm.sharding import shard_rows
 from hazline.session import shared_dir
 
@@ -26,6 +29,18 @@ def query(oracle: str | None = None):
     return add
 
 
+@query()
+def op2_quality(spark, sf_dir):
+    """Quality of all documents, learnt from the labels of three of four parts of them."""
+    return classify(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query()
+def op3_rules(spark, sf_dir):
+    """Repetition counts and divergence from language references, for all documents."""
+    return quality_rules(spark, read(spark, sf_dir, "documents"))
+
+
 @query()
 def op4_records(spark, sf_dir):
     """Token ids of all documents as framed records, read back through the offset index."""
@@ -53,6 +68,31 @@ def op8_packing(spark, sf_dir):
     return pieces.drop("ids")
 
 
+SEARCH_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1),
+         lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
+)
+SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 5
+"""
+
+
+@query(SEARCH_SQL)
+def op9_search(spark, sf_dir):
+    """The five rows of highest inner product for every fiftieth vector, over all others."""
+    return top_k(spark, read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query()
 def op10_sharding(spark, sf_dir):
     """All documents in eight shards of equally many rows, each with the mixture of sources."""
