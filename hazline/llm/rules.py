@@ -1,13 +1,14 @@
 r"""Quality rules: repetition counts, and divergence of histograms from language references.
 
-All in DataFrame functions; a text is never taken apart into rows except to count the words
-of the references.
+All in DataFrame functions. Texts are read twice: once to count the words of each language,
+once to judge; what follows works on a stored table of counts. Columns to carry along come
+back as carried_<name>.
 
 Base: `base_failed` for fewer than 20 words, or over 30 % of words in 8-word windows that occur
 twice or more in the text. Divergence: a text's histogram of character classes (capitals,
 digits, symbols, marks, the rest) and of the commonest words of its language (and all others)
-are compared with those of the language, learnt from all texts that pass the base. The
-distance is the square root of the Jensen-Shannon divergence in bits, from 0 to 1. A distance
+are compared with those of the language, summed over all texts that pass the base, and again over those
+of them that the first references do not reject. The distance is the square root of the Jensen-Shannon divergence in bits, from 0 to 1. A distance
 counts only where the text is long enough for its histogram: `min_chars`, `min_words`.
 
 References are one row per language. A text of a language that is NULL or has no reference is
@@ -45,7 +46,7 @@ def _windows(codes: str) -> Column:
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
-    """Adds words, word_chars, n_words, n_symbols, n_dup_lines and n_repeat_words to doc_id, language, text."""
+    """Adds words, word_chars, n_words, n_symbols, n_dup_lines and n_repeat_words to rows with a text."""
     text = F.col("text")
     lines = F.filter(F.split(text, "\n"), lambda x: _without(x, SPACE) > 0)
     counted = (
@@ -72,9 +73,7 @@ def base_counts(docs: DataFrame) -> DataFrame:
         "n_repeat_words", F.coalesce(F.aggregate(gain, F.lit(0), lambda a, x: a + x), F.lit(0))
     )
     return counted.select(
-        "doc_id",
-        "language",
-        "text",
+        *docs.columns,
         "words",
         F.size("words").cast("long").alias("n_words"),
         _without(text, SPACE).cast("long").alias("word_chars"),
@@ -84,50 +83,77 @@ def base_counts(docs: DataFrame) -> DataFrame:
     )
 
 
-def with_base(docs: DataFrame) -> DataFrame:
-    counted = base_counts(docs)
+def common_words(docs: DataFrame, common: int) -> DataFrame:
+    """language, ref_words: the commonest words of each language, and of all as language ALL."""
+    # explode_outer, as explode would have the optimizer split every text once more for a filter
+    said = docs.select("language", F.explode_outer(F.split("text", r"[\x20\x09-\x0D]+")).alias("word"))
+    counts = said.where("word <> ''").groupBy("language", "word").agg(F.count("*").alias("n"))
+    part = F.pmod(F.xxhash64("word"), F.lit(64)).alias("part")
+    entry = F.struct((-F.col("n")).alias("less"), "word").alias("entry")
+    # the first few of each of 64 parts of a language's words, then of those: no group is large
+    order = Window.partitionBy("language", "part").orderBy("entry")
+    top = counts.select("language", part, entry).withColumn("place", F.row_number().over(order))
+    top = top.where(F.col("place") <= common).select("language", "entry")
+    each = top.groupBy("language").agg(F.sort_array(F.collect_list("entry")).alias("top"))
+    each = each.select("language", F.slice("top", 1, common).alias("top"))
+    every = each.select(F.explode_outer("top").alias("entry")).groupBy("entry.word")
+    every = every.agg(F.sum("entry.less").alias("less"))
+    every = every.agg(F.sort_array(F.collect_list(F.struct("less", "word"))).alias("top"))
+    every = every.select(F.lit(ALL).alias("language"), F.slice("top", 1, common).alias("top"))
+    listed = each.unionByName(every)
+    return listed.select("language", F.transform("top", lambda x: x["word"]).alias("ref_words"))
+
+
+def with_histograms(counted: DataFrame, refs: DataFrame) -> DataFrame:
+    """Adds reference (the language compared with), classes, hits and base_failed."""
     capitals, digits = _removed(F.col("text"), r"\p{Lu}"), _removed(F.col("text"), r"[0-9]")
     marks = _removed(F.col("text"), r"[!-/:-@\[-`{-~]") - F.col("n_symbols")
     listed = [capitals, digits, F.col("n_symbols"), marks]
-    counted = counted.withColumn("classes", F.array(*[x.cast("double") for x in listed]))
-    rest = F.col("word_chars") - F.aggregate("classes", F.lit(0.0), lambda a, x: a + x)
-    return counted.withColumn(
-        "classes", F.concat("classes", F.array(F.greatest(rest, F.lit(0.0))))
-    ).withColumn(
-        "base_failed",
-        (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")),
+    hits = F.transform("ref_words", lambda w: F.size("words") - F.size(F.array_remove("words", w)))
+    known = refs.withColumn("reference", F.col("language"))
+    overall = refs.where(F.col("language") == ALL).select(
+        F.col("ref_words").alias("any_words"), F.lit(1).alias("one")
     )
-
-
-def references(good: DataFrame, common: int) -> DataFrame:
-    """One row per language and one for all: mean character classes, commonest words, their shares."""
-    said = F.explode("words").alias("word")
-    counts = good.select("language", said).groupBy("language", "word").agg(F.count("*").alias("n"))
-    sums = [F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(5)]
-    totals = good.groupBy("language").agg(F.sum("n_words").alias("of"), *sums)
-    whole = counts.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit(ALL).alias("language"), "word", "n")
-    # the first few of each of 64 parts of a language's words, then of those: no window over all its words
-    top = (
-        counts.union(whole)
-        .withColumn("part", F.pmod(F.xxhash64("word"), F.lit(64)))
-        .withColumn("entry", F.struct((-F.col("n")).alias("less"), "word"))
+    bound = counted.join(known, "language", "left").withColumn("one", F.lit(1))
+    bound = bound.join(overall, "one", "left")  # a single row
+    bound = bound.withColumn("ref_words", F.coalesce("ref_words", "any_words"))
+    return bound.select(
+        *counted.columns,
+        F.coalesce("reference", F.lit(ALL)).alias("reference"),
+        F.array(*[x.cast("double") for x in listed]).alias("classes"),
+        F.coalesce(hits, F.array()).cast("array<double>").alias("hits"),
+        (
+            (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+        ).alias("base_failed"),
+    ).drop("words")
+
+
+def _closed(counts: str, total: str) -> Column:
+    """A histogram with what its bins leave of the total as the last bin."""
+    rest = F.col(total) - F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
+    return F.concat(counts, F.array(F.greatest(rest.cast("double"), F.lit(0.0))))
+
+
+def references(judged: DataFrame, common: int) -> DataFrame:
+    """Summed histograms of the texts that pass the base, per language and over all."""
+    good = judged.where(~F.col("base_failed"))
+    width = {"closed_classes": 5, "closed_hits": common + 1}
+    sums = [
+        F.sum(F.coalesce(F.get(name, F.lit(i)), F.lit(0.0))).alias(f"{name}_{i}")
+        for name, n in width.items()
+        for i in range(n)
+    ]
+    languages = good.groupBy("reference").agg(*sums)
+    every = languages.agg(*[F.sum(c).alias(c) for c in languages.columns[1:]])
+    both = languages.where(F.col("reference") != ALL).unionByName(
+        every.withColumn("reference", F.lit(ALL)), allowMissingColumns=True
     )
-    order = Window.partitionBy("language", "part").orderBy("entry")
-    top = top.withColumn("place", F.row_number().over(order)).where(F.col("place") <= common)
-    top = top.groupBy("language").agg(F.slice(F.sort_array(F.collect_list("entry")), 1, common).alias("top"))
-    every = totals.select(
-        F.lit(ALL).alias("language"), "of", *[f"c{i}" for i in range(5)]
-    ).groupBy("language").agg(F.sum("of").alias("of"), *[F.sum(f"c{i}").alias(f"c{i}") for i in range(5)])
-    return (
-        totals.union(every)
-        .join(top, "language")
-        .select(
-            "language",
-            F.array(*[F.col(f"c{i}") for i in range(5)]).alias("ref_classes"),
-            F.transform("top", lambda x: x["word"]).alias("ref_words"),
-            F.transform("top", lambda x: -x["less"].cast("double")).alias("ref_counts"),
-            F.col("of").cast("double").alias("ref_of"),
-        )
+    return both.select(
+        "reference",
+        *[
+            F.array(*[F.col(f"{name}_{i}") for i in range(n)]).alias("ref_" + name)
+            for name, n in width.items()
+        ],
     )
 
 
@@ -135,9 +161,9 @@ def distance(p: Column, q: Column) -> Column:
     """Jensen-Shannon distance of two histograms of equal length (counts), in [0, 1]."""
     zero = F.lit(0.0)
     sums = [F.greatest(F.aggregate(x, zero, lambda a, v: a + v), F.lit(1.0)) for x in (p, q)]
+    p, q = (F.zip_with(x, F.array_repeat(n, F.size(x)), lambda v, w: v / w) for x, n in zip((p, q), sums, strict=True))
 
-    def term(x, y):
-        a, b = x / sums[0], y / sums[1]
+    def term(a, b):
         half = (a + b) / 2
         return F.when(a > 0, a * F.log2(a / half)).otherwise(zero) + F.when(
             b > 0, b * F.log2(b / half)
@@ -152,43 +178,41 @@ def quality_rules(
     docs: DataFrame,
     stage: Stage | None = None,
     common: int = 12,
-    min_chars: int = 120,
+    min_chars: int = 200,
     min_words: int = 40,
-    max_class_distance: float = 0.2,
-    max_word_distance: float = 0.55,
+    max_class_distance: float = 0.25,
+    max_word_distance: float = 0.35,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """doc_id, counts of the base, distances, base_failed and kept, a row for each row."""
+    """doc_id, counts of the base, distances, base_failed, kept and the carried columns of each row."""
     stage = stage or Stage(spark)
+    carried = [F.col(name).alias("carried_" + name) for name in carry]
     slim = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("language"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        *carried,
     )
-    judged = with_base(slim)
-    refs = stage.put("references", references(judged.where(~F.col("base_failed")), common))
-    overall = refs.where(F.col("language") == ALL).drop("language")
-    overall = overall.select(*[F.col(c).alias("any_" + c) for c in overall.columns])
-    bound = judged.join(refs, "language", "left").withColumn("one", F.lit(1))
-    bound = bound.join(overall.withColumn("one", F.lit(1)), "one", "left")  # one row
-    for name in ("ref_classes", "ref_words", "ref_counts", "ref_of"):
-        bound = bound.withColumn(name, F.coalesce(name, "any_" + name))
-    hits = F.transform(
-        "ref_words", lambda w: (F.size("words") - F.size(F.array_remove("words", w))).cast("double")
-    )
-    bound = bound.withColumn("hits", hits)
+    refs = stage.put("words", common_words(slim.select("language", "text"), common))
+    judged = with_histograms(base_counts(slim), refs).drop("text")
+    judged = stage.put("judged", judged)
+    judged = judged.withColumn("closed_classes", _closed("classes", "word_chars"))
+    judged = judged.withColumn("closed_hits", _closed("hits", "n_words"))
+
+    def compared(name):
+        good = judged if name == "first" else near
+        refs = stage.put(name, references(good, common))
+        both = judged.join(refs, "reference", "left")
+        for kind, column in (("class", "closed_classes"), ("word", "closed_hits")):
+            apart = distance(F.col(column), F.col("ref_" + column))
+            both = both.withColumn(kind + "_distance", F.coalesce(apart, F.lit(0.0)))
+        return both
 
-    def closed(counts, total):
-        rest = total - F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
-        return F.concat(counts, F.array(F.greatest(rest, F.lit(0.0))))
-
-    class_distance = distance(F.col("classes"), F.col("ref_classes"))
-    word_distance = distance(
-        closed(F.col("hits"), F.col("n_words").cast("double")), closed(F.col("ref_counts"), F.col("ref_of"))
-    )
-    bound = bound.withColumn("class_distance", F.coalesce(class_distance, F.lit(0.0)))
-    bound = bound.withColumn("word_distance", F.coalesce(word_distance, F.lit(0.0)))
     far = (F.col("word_chars") >= min_chars) & (F.col("class_distance") > max_class_distance)
     far |= (F.col("n_words") >= min_words) & (F.col("word_distance") > max_word_distance)
+    # once more against references without the texts that stand off, which blur them
+    near = compared("first").where(~far).select(judged.columns)
+    bound = compared("second")
     return bound.select(
         "doc_id",
         "n_words",
@@ -200,4 +224,5 @@ def quality_rules(
         (~F.col("base_failed") & ~far).alias("kept"),
         "class_distance",
         "word_distance",
+        *[F.col("carried_" + name) for name in carry],
     )
