@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from hazline.llm.classifier import classify
 from hazline.llm.common import read
+from hazline.llm.disclosure import BASE, protect
+from hazline.llm.mixing import mix
 from hazline.llm.packing import pack
 from hazline.llm.records import record_digest, write_indexed
 from hazline.llm.rules import quality_rules
@@ -55,6 +57,20 @@ def op4_records(spark, sf_dir):
     return record_digest(index)
 
 
+@query()
+def op6_disclosure(spark, sf_dir):
+    """Personal data and disclosing terms in all documents."""
+    counts = ["n_" + kind for kind in BASE]
+    found = protect(spark, read(spark, sf_dir, "documents"))
+    return found.select("doc_id", *counts, "base_sha256", "spans")
+
+
+@query()
+def op7_mixing(spark, sf_dir):
+    """All documents drawn to tempered source weights, within four passes of a source."""
+    return mix(spark, read(spark, sf_dir, "documents"))
+
+
 @query()
 def op8_packing(spark, sf_dir):
     """All documents cut and packed into windows of 2048 tokens."""
