@@ -10,6 +10,7 @@ from hazline.llm.classifier import classify
 from hazline.llm.common import read
 from hazline.llm.disclosure import BASE, protect
 from hazline.llm.mixing import mix
+from hazline.llm.neardup import near_duplicates
 from hazline.llm.packing import pack
 from hazline.llm.records import record_digest, write_indexed
 from hazline.llm.rules import quality_rules
@@ -57,6 +58,12 @@ def op4_records(spark, sf_dir):
     return record_digest(index)
 
 
+@query()
+def op5_near_duplicates(spark, sf_dir):
+    """The near-duplicate class of every document."""
+    return near_duplicates(spark, read(spark, sf_dir, "documents")).drop("node")
+
+
 @query()
 def op6_disclosure(spark, sf_dir):
     """Personal data and disclosing terms in all documents."""
