@@ -207,7 +207,8 @@ def node_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 def near_duplicates(
     spark: SparkSession, docs: DataFrame, tenths: int = 8, stage: Stage | None = None
 ) -> DataFrame:
-    """doc_id, class_id (the class's smallest doc_id), class_rows, n_texts and node of every row."""
+    """doc_id, class_id (the class's smallest doc_id), class_rows, n_texts, and the digests
+    (node of the text, root of the class) of every row."""
     stage = stage or Stage(spark)
     signed = stage.put("signed", sign(docs))
     nodes = signed.groupBy("node").agg(
@@ -254,7 +255,23 @@ def near_duplicates(
     named = classes.groupBy("root").agg(
         F.min("least").alias("class_id"), F.sum("copies").alias("class_rows"), F.count("*").alias("n_texts")
     )
-    named = classes.select("node", "root").join(named, "root").drop("root")
+    named = classes.select("node", "root").join(named, "root")
     return signed.select("doc_id", "node").join(named, "node").select(
-        "doc_id", "class_id", "class_rows", "n_texts", "node"
+        "doc_id", "class_id", "class_rows", "n_texts", "node", "root"
     )
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
+    """The rows of docs without all but one of each class: the row of the smallest doc_id."""
+    found = near_duplicates(spark, docs, **options)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
+    kept = found.groupBy("root").agg(F.min(order).alias("row")).select(
+        F.col("row.node").alias("kept_node"), F.col("row.doc_id").alias("kept_id")
+    )
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    keyed = docs.withColumn("kept_node", F.unhex(F.md5(text.cast("binary"))))
+    keyed = keyed.withColumn("kept_key", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")))
+    kept = kept.select("kept_node", F.coalesce(F.col("kept_id").cast("string"), F.lit("-")).alias("kept_key"))
+    # repeated rows of one id and text come down to one here, on the keys of the join
+    one = keyed.join(kept, ["kept_node", "kept_key"]).dropDuplicates(["kept_node", "kept_key"])
+    return one.select(docs.columns)

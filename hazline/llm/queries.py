@@ -16,6 +16,7 @@ from hazline.llm.records import record_digest, write_indexed
 from hazline.llm.rules import quality_rules
 from hazline.llm.search import top_k
 from hazline.llm.sharding import shard_rows
+from hazline.llm.substrings import remove_repeats
 from hazline.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +33,12 @@ def query(oracle: str | None = None):
     return add
 
 
+@query()
+def op1_substrings(spark, sf_dir):
+    """Bytes of all documents without 100-byte strings that start earlier as well."""
+    return remove_repeats(spark, read(spark, sf_dir, "documents"), length=100, kept=False).drop("kept")
+
+
 @query()
 def op2_quality(spark, sf_dir):
     """Quality of all documents, learnt from the labels of three of four parts of them."""
@@ -61,7 +68,7 @@ def op4_records(spark, sf_dir):
 @query()
 def op5_near_duplicates(spark, sf_dir):
     """The near-duplicate class of every document."""
-    return near_duplicates(spark, read(spark, sf_dir, "documents")).drop("node")
+    return near_duplicates(spark, read(spark, sf_dir, "documents")).drop("node", "root")
 
 
 @query()
