@@ -1,8 +1,8 @@
 """Token ids as length-delimited binary records with a separate offset index.
 
 A record is `length (u64) | masked crc of the length | payload | masked crc of the payload`,
-all little-endian, where the payload is the document id (i64) and its token ids (u32). The
-masked checksum is `rotate_right(crc32, 15) + 0xA282EAD8` modulo 2^32, so that a checksum
+all little-endian, where the payload is the document id (i64), the width of an id in bytes
+(u8: 2 where every id of the record is below 2^16, else 4) and its token ids. The masked checksum is `rotate_right(crc32, 15) + 0xA282EAD8` modulo 2^32, so that a checksum
 stored inside data that is itself checksummed does not defeat the outer one.
 
 Writing: rows are range-partitioned by document id, so files follow each other in that
@@ -35,7 +35,7 @@ from hazline.llm.tokens import shared_encoder
 # Fixed values of the file format.
 MASK_DELTA = 0xA282EAD8
 NO_ID = -(1 << 63)
-LENGTH, CRC, DOC = Struct("<Q"), Struct("<I"), Struct("<q")
+LENGTH, CRC, DOC = Struct("<Q"), Struct("<I"), Struct("<qB")
 
 INDEX = T.StructType(
     [
@@ -85,12 +85,16 @@ def unframe(data: bytes) -> bytes:
 
 
 def payload_of(doc: int | None, ids: bytes) -> bytes:
-    return DOC.pack(NO_ID if doc is None else doc) + ids
+    """ids: little-endian unsigned 32-bit integers."""
+    values = np.frombuffer(ids, "<u4")
+    width = 2 if values.max(initial=0) < 1 << 16 else 4
+    return DOC.pack(NO_ID if doc is None else doc, width) + values.astype(f"<u{width}").tobytes()
 
 
 def parts_of(payload: bytes) -> tuple[int | None, bytes]:
-    (doc,) = DOC.unpack_from(payload)
-    return None if doc == NO_ID else doc, payload[8:]
+    doc, width = DOC.unpack_from(payload)
+    values = np.frombuffer(payload, f"<u{width}", offset=DOC.size)
+    return None if doc == NO_ID else doc, values.astype("<u4").tobytes()
 
 
 def _open(folder: str):

@@ -15,17 +15,25 @@ it, so "word," is looked up as "word" and ",". that spell a special token are en
 
 import os
 import re
+from array import array
 
 import numpy as np
 
 _RUN = re.compile(r"[^\S ] (?:\s|\Z)")
 _LONG = 48
+# byte-level models spell bytes that are not printable Latin-1 characters as U+0100 onwards
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
 class Encoder:
-    """Ids as little-endian unsigned 32-bit integers in bytes; `entries` bounds the cache."""
+    """Ids as little-endian unsigned 32-bit integers in bytes.
 
-    def __init__(self, path: str, split: str, entries: int = 600_000):
+    The cache has two generations of at most `entries` pieces: when the younger is full it
+    becomes the older, and what is used again moves back.
+    """
+
+    def __init__(self, path: str, split: str, entries: int = 450_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -40,6 +48,7 @@ class Encoder:
         self.marks = {mark: self._whole([mark])[0] for mark in ",."}
         self.blank = self._whole([" "])[0] if self.kept else b""
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         rows = self.model.encode_batch_fast(texts, add_special_tokens=False)
@@ -59,10 +68,20 @@ class Encoder:
         ends = [*(4 * cuts).tolist(), len(data)]
         self.pieces.update(zip(words, map(data.__getitem__, map(slice, starts, ends)), strict=True))
 
+    def _letters(self, word: str) -> bool:
+        """Learns a word of Latin-1 letters straight from the model: it is one pre-token as it stands."""
+        if not word.isalpha() or len(word) > _LONG or max(word) > "\xff":
+            return False
+        data = (" " + word if self.kept else word.lower()).encode()
+        self.pieces[word] = array(
+            "I", [token.id for token in self.model.model.tokenize(data.decode("latin-1").translate(_BYTES))]
+        ).tobytes()
+        return True
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
         if len(self.pieces) > self.entries:
-            self.pieces.clear()
+            self.older, self.pieces = self.pieces, {}
         whole, split, heads, new = [], [], [], set()
         for row, text in enumerate(texts):
             if not text:
@@ -78,13 +97,17 @@ class Encoder:
             new.update(words)
             split.append((row, words))
         pieces = self.pieces
-        new = [word for word in new if word and word not in pieces]
+        older = self.older
+        missed = [word for word in new if word not in pieces]
+        pieces.update((word, older[word]) for word in missed if word in older)
+        new = [word for word in missed if word and word not in pieces]
         ended = [w for w in new if w[-1] in self.marks and w[:-1].isalpha() and w.isascii()]
         stems = {word[:-1] for word in ended}
         stems.update(set(new).difference(ended))
         ordered = sorted(word for word in stems if word not in pieces)
-        for at in range(0, len(ordered), 2000):
-            self._learn(ordered[at : at + 2000])
+        others = [word for word in ordered if not self._letters(word)]
+        for at in range(0, len(others), 2000):
+            self._learn(others[at : at + 2000])
         for word in ended:
             pieces[word] = pieces[word[:-1]] + self.marks[word[-1]]
         self.pieces[""] = self.blank
