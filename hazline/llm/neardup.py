@@ -13,10 +13,11 @@ m (ln m + 3) points a text, however long it is. Levels beyond a count are met in
 only, so at most half of the points are drawn in vain.
 
 Classes: equal texts are one node. Nodes that agree in a whole band of registers are a bucket. Each
-member is compared with the bucket's first node; what passes is linked and connected.
-Buckets that still hold several components are then looked at again: every pair across
-components is compared, so the result is that of comparing all pairs of each bucket, without
-making those within a component. Similarity is checked on whole texts in integers.
+member is compared with the bucket's head, the node that meets most others; what passes is linked and
+connected. Members of buckets that still hold several components are looked at again: a prefix
+filter over their rarest shingles finds every pair across components that can be similar enough, so the
+result is that of comparing all pairs of each bucket, without making them. Similarity is
+checked on whole texts in integers.
 
 One row per row comes back. Texts without words are alike only if equal. NULL texts count as empty,
 NULL ids stay NULL and rank last as class id, rows that repeat an id get their text's class.
@@ -27,7 +28,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -196,6 +197,47 @@ def components(stage: Stage, links: DataFrame) -> DataFrame:
         before = state
 
 
+def shingle_rows(nodes: DataFrame) -> DataFrame:
+    """node, token, size: a row for each occurrence of each shingle of a node's text."""
+    schema = pa.schema([("node", pa.binary()), ("token", pa.int64()), ("size", pa.int64())])
+
+    def run(batches):
+        for batch in batches:
+            for first, last in slices(batch, limit=1 << 18):
+                piece = batch.slice(first, last - first)
+                doc, shingle, count = bags(piece.column("text").to_pylist())
+                owner, of = np.repeat(doc, count), np.repeat(shingle, count)
+                turn = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+                token = mixed(of + ODD * turn.astype(np.uint64)).view(np.int64)
+                size = np.bincount(owner, minlength=len(piece))[owner]
+                node = piece.column("node").take(pa.array(owner))
+                yield pa.RecordBatch.from_arrays([node, pa.array(token), pa.array(size)], schema=schema)
+
+    return nodes.select("node", "text").mapInArrow(run, "node binary, token long, size long")
+
+
+def across_components(stage: Stage, open_nodes: DataFrame, words: DataFrame, tenths: int) -> DataFrame:
+    """Pairs (a, b) of open nodes of different components that can be similar enough, by prefix filter.
+
+    With shingles in order of rarity, two bags of similarity t share one within the first
+    n - ceil(t n) + 1 of each, and what follows it must be able to make up the overlap needed.
+    """
+    rows = stage.put("tokens", shingle_rows(open_nodes.select("node").join(words, "node")))
+    common = rows.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
+    ranked = rows.join(common, "token", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    order = Window.partitionBy("node").orderBy("n", "token")
+    ranked = ranked.withColumn("pos", F.row_number().over(order))
+    ranked = ranked.where(f"n > 1 AND pos <= size - (size * {tenths} + 9) div 10 + 1")
+    ranked = stage.put("prefixes", ranked.join(open_nodes, "node").select("token", "node", "root", "size", "pos"))
+    one = ranked.select("token", *[F.col(c).alias("a_" + c) for c in ("node", "root", "size", "pos")])
+    two = ranked.select("token", *[F.col(c).alias("b_" + c) for c in ("node", "root", "size", "pos")])
+    rest = "least(a_size - a_pos, b_size - b_pos) + 1"
+    pairs = one.join(two, "token").where(
+        f"a_node < b_node AND a_root <> b_root AND ({rest}) * {10 + tenths} >= {tenths} * (a_size + b_size)"
+    )
+    return pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+
+
 def node_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """One text for each node asked for: node, text."""
     rows = texts(docs).withColumn("node", F.unhex(F.md5(F.col("text").cast("binary"))))
@@ -216,36 +258,25 @@ def near_duplicates(
     )
     nodes = stage.put("nodes", nodes)
     banded_nodes = nodes.select("node", F.posexplode("bands").alias("band", "code"))
-    heads = banded_nodes.groupBy("band", "code").agg(F.min("node").alias("head"), F.count("*").alias("n"))
-    shared = banded_nodes.join(heads.where("n > 1").drop("n"), ["band", "code"])
-    shared = stage.put("shared", shared)
-    pairs = shared.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
-    pairs = stage.put("pairs", pairs.distinct())
+    sizes = banded_nodes.groupBy("band", "code").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stage.put("shared", banded_nodes.join(sizes, ["band", "code"]))
+    # the node that meets the most others heads a bucket: the text the others are copies of
+    met = shared.groupBy("node").agg(F.sum("n").alias("met"))
+    heads = shared.join(met, "node").groupBy("band", "code").agg(F.max(F.struct("met", "node"))["node"].alias("head"))
+    pairs = shared.join(heads, ["band", "code"]).where("node <> head")
+    pairs = stage.put("pairs", pairs.select(F.col("node").alias("a"), F.col("head").alias("b")).distinct())
     used = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     words = stage.put("words", node_texts(docs, nodes.select("node", "least").join(used, "node")))
     links = stage.put("links", verified(pairs, words, tenths))
     parts = stage.put("parts", components(stage, links))
 
-    # pairs across the components that a bucket still holds
+    # members of buckets that still hold several components
     placed = shared.join(parts, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = placed.select("band", "code", "node", "root")
-    sizes = placed.groupBy("band", "code", "root").agg(F.count("*").alias("n"))
-    mixed_buckets = sizes.groupBy("band", "code").agg(
-        F.count("*").alias("roots"), F.max(F.struct("n", "root"))["root"].alias("main")
-    )
-    mixed_buckets = mixed_buckets.where("roots > 1").drop("roots")
-    open_rows = stage.put("open", placed.join(mixed_buckets, ["band", "code"]))
-    rest = open_rows.where("root <> main").select(
-        "band", "code", F.col("node").alias("a"), F.col("root").alias("root_a")
-    )
-    across = open_rows.select("band", "code", F.col("node").alias("b"), F.col("root").alias("root_b"), "main")
-    # a pair of two nodes outside the main component is made once
-    across = rest.join(across, ["band", "code"]).where(
-        "root_a <> root_b AND (root_b = main OR a < b)"
-    )
-    across = across.select("a", "b").distinct()
+    several = placed.groupBy("band", "code").agg(F.min("root").alias("one"), F.max("root").alias("other"))
+    several = several.where("one <> other").select("band", "code")
+    open_nodes = stage.put("open", placed.join(several, ["band", "code"]).select("node", "root").distinct())
     done = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    across = across.join(done, ["a", "b"], "left_anti")
+    across = across_components(stage, open_nodes, words, tenths).join(done, ["a", "b"], "left_anti")
     more = stage.put("more", verified(across, words, tenths))
     if not more.isEmpty():
         parts = stage.put("parts", components(stage, links.union(more)))
