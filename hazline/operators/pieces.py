@@ -38,14 +38,22 @@ def _with_chunks(seg: DataFrame, cuts: DataFrame, grid: Grid) -> DataFrame:
         .withColumn("part", F.expr("explode(sequence(1, n_part - 1))"))
         .withColumn("t", F.col("part") / F.col("n_part"))
         .withColumn("virtual", F.lit(1))
-        .drop("n_part", "part")
+        .drop("n_part")
+    )
+    # Parts lie between the very quotients k / n_part at which they start. A start knows its
+    # part; the floor of a cut's t * n_part can be one off, so it is held against them.
+    near = "CAST(floor(t * n_part) AS INT)"
+    own = (
+        f"CASE WHEN t < {near} / n_part THEN {near} - 1"
+        f" WHEN t >= ({near} + 1) / n_part THEN {near} + 1 ELSE {near} END"
     )
     return (
-        starts.unionByName(inner)
-        .unionByName(cut)
+        starts.withColumn("part", F.lit(0))
+        .unionByName(inner)
+        .unionByName(cut.withColumn("part", F.lit(None).cast("int")))
         # a cut at a segment start comes without coordinates: part 0, end unknown
         .withColumn("n_part", F.expr(f"if(x1 IS NULL, NULL, {n_part})"))
-        .withColumn("part", F.expr("coalesce(least(n_part - 1, CAST(floor(t * n_part) AS INT)), 0)"))
+        .withColumn("part", F.expr(f"coalesce(part, least(n_part - 1, {own}), 0)"))
         .withColumn("wide", F.expr(f"reach > {dbl(span)}"))
         .selectExpr(
             "*",
