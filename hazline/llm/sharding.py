@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from hazline.llm.common import Stage
 
-ROWS_PER_CELL = 4096
+ROWS_PER_CELL = 512
 
 
 def _ranked(rows: DataFrame, group: str | None, cell: str, order: list) -> DataFrame:
@@ -66,17 +66,18 @@ def shard_rows(
     sizes = slim.groupBy("stratum").agg(F.count("*").alias("of"))
     ties = ["draw", F.col("doc_id").asc_nulls_first(), "text_crc32", "size"]
     # hash / 2^64 is uniform on [-1/2, 1/2): a cell is a slice of the hash range
-    cell = F.floor((F.col("draw") / F.lit(2.0**64) + 0.5) * cells).cast("long")
-    ranked = _ranked(slim.withColumn("cell", cell), "stratum", "cell", ties)
+    own = F.greatest(F.lit(1).cast("long"), F.floor(F.col("of") / ROWS_PER_CELL))
+    slice_of = F.floor((F.col("draw") / F.lit(2.0**64) + 0.5) * own).cast("long")
+    sized = slim.join(sizes, "stratum").withColumn("cell", slice_of)
+    ranked = _ranked(sized, "stratum", "cell", ties)
     place = (2 * F.col("rank") + 1) / (2 * F.col("of"))
-    line = ranked.join(sizes, "stratum").withColumn("place", place)
+    line = ranked.withColumn("place", place)
     line = stage.put("line", line.drop("cell", "rank", "of"))
     along = F.floor(F.col("place") * cells).cast("long")
     order = ["place", "stratum", *ties]
     placed = _ranked(line.withColumn("cell", along), None, "cell", order)
-    shard = F.floor(F.col("rank") * shards / F.lit(max(1, total))).cast("long")
-    # exact integer cut: shard k starts at ceil(k * total / shards)
-    shard = F.expr(f"(rank * {shards}L) div {max(1, total)}L") if total else shard
+    # in integers: shard k starts at row ceil(k * total / shards)
+    shard = F.expr(f"(rank * {shards}L) div {max(1, total)}L")
     start = F.expr(f"(shard * {total}L + {shards - 1}L) div {shards}L")
     return placed.withColumn("shard", shard).select(
         "doc_id",
