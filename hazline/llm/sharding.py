@@ -31,8 +31,10 @@ def _ranked(rows: DataFrame, group: str | None, cell: str, order: list) -> DataF
     past = past.rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select(*keys, F.coalesce(F.sum("n").over(past), F.lit(0)).alias("before"))
     inside = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
+    # dealt by all keys: rows already dealt by the group alone would lie in one task per group
     return (
-        rows.withColumn("inside", inside)
+        rows.repartition(*keys)
+        .withColumn("inside", inside)
         .join(before, keys)
         .withColumn("rank", F.col("before") + F.col("inside"))
         .drop("inside", "before")
