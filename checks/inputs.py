@@ -8,15 +8,18 @@ from the stored overlay, queries about the overlay itself always compute it.
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hazline.operators.overlay import Split, intersect, split_at_zones
 from hazline.session import Stage
+from hazline.sinks.store import StudyStore
 from hazline.sources import fixtures
 
 STUDY_ID = 1
 
 _LAYERS: dict[tuple, "Layers"] = {}
 _OVERLAYS: dict[tuple, "Overlay"] = {}
+_STORES: dict[tuple, StudyStore] = {}
 
 
 @dataclass(frozen=True)
@@ -66,3 +69,19 @@ def overlay(spark: SparkSession, sf_dir: str) -> Overlay:
         rows = intersect(split, layers(spark, sf_dir).zones, stage)
         _OVERLAYS[key] = Overlay(split, stage.put("intersections", rows))
     return _OVERLAYS[key]
+
+
+def stored(spark: SparkSession, sf_dir: str) -> StudyStore:
+    """Store with two studies; the second holds the rows of the first with twice the goods traffic."""
+    key = _key(spark, sf_dir)
+    if key not in _STORES:
+        store = StudyStore(spark, f"{Stage(spark).root}/store")
+        rows = overlay(spark, sf_dir).intersections
+        for number in (STUDY_ID, STUDY_ID + 1):
+            store.initiate_study(f"study {number}", "zones", "elements", study_id=number)
+            own = rows.withColumn("study_id", F.lit(number).cast("bigint"))
+            own = own.withColumn("aadt_goods", F.col("aadt_goods") * (number - STUDY_ID + 1))
+            store.append_import(own)
+            store.import_results(number)
+        _STORES[key] = store
+    return _STORES[key]

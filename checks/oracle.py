@@ -6,7 +6,7 @@ zone. No grid, no tessellation and no chunks, so the two sides differ where the
 could go wrong.
 """
 
-from hazline.functions.numbers import HALF
+from checks.numbers import HALF
 
 INPUT = """
 WITH q AS MATERIALIZED (

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import oracle as sql
-from checks.inputs import STUDY_ID, fresh_intersections, fresh_split, layers, overlay
+from checks.inputs import STUDY_ID, fresh_intersections, fresh_split, layers, overlay, stored
+from checks.numbers import fixed
 from hazline.functions.geometry import edges, segments
-from hazline.functions.numbers import fixed
 from hazline.operators import quality, risk
 from hazline.operators.cuts import boundaries, cut_points
 from hazline.operators.extent import overlap_of_extents
@@ -16,6 +16,7 @@ from hazline.operators.grid import choose_grid
 from hazline.operators.mapping import text_to_int
 from hazline.operators.pairs import piece_zone_pairs
 from hazline.plans.study import run_study
+from hazline.schema import ELEMENT_FIELDS
 from hazline.session import Stage
 from hazline.sinks.store import StudyStore
 from hazline.sources import fixtures
@@ -313,14 +314,16 @@ def lookup_orphans(spark, sf_dir):
 @query(sql.RISK + f"""
 SELECT CAST(1 AS BIGINT) AS study_id, fid AS element_feature_id, {sql.ES_COLUMNS} FROM es""")
 def element_summary(spark, sf_dir):
-    pairs = overlay(spark, sf_dir).intersections.where(F.col("study_id") == STUDY_ID)
-    return _rounded(risk.element_summary(pairs, *_parameters(spark)), **ES_DIGITS)
+    """Of one study of several in the store."""
+    summary = stored(spark, sf_dir).element_summary(STUDY_ID, *_parameters(spark))
+    return _rounded(summary, **ES_DIGITS)
 
 
 @query(sql.RISK + f"SELECT CAST(1 AS BIGINT) AS study_id, route_code, {sql.RS_COLUMNS} FROM rs")
 def route_summary(spark, sf_dir):
-    pairs = overlay(spark, sf_dir).intersections.where(F.col("study_id") == STUDY_ID)
-    return _rounded(risk.route_summary(pairs, *_parameters(spark)), **RS_DIGITS)
+    """Of one study of several in the store."""
+    summary = stored(spark, sf_dir).route_summary(STUDY_ID, *_parameters(spark))
+    return _rounded(summary, **RS_DIGITS)
 
 
 @query(sql.RISK + f"""
@@ -410,7 +413,7 @@ WITH first AS (
   FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY n_nationkey, n_name),
 second AS (
   SELECT n_nationkey + 1 AS study_id, n_name || ' again' AS study_name, count(*) AS n
-  FROM nation JOIN supplier ON s_nationkey = n_nationkey WHERE s_acctbal < 0
+  FROM nation JOIN supplier ON s_nationkey = n_nationkey
   GROUP BY n_nationkey, n_name),
 rows AS (
   SELECT study_id, study_name, n || ' customers' AS study_description FROM first
@@ -421,10 +424,10 @@ SELECT CAST(study_id AS BIGINT) AS study_id, study_name, 'zones' AS hazardzone_d
   'elements' AS element_dataset_filepath, study_description
 FROM rows""")
 def study_upsert(spark, sf_dir):
-    """Studies per nation; those with indebted suppliers come a second time, one without id."""
+    """Studies per nation; those with suppliers come a second time, one without id."""
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet").where("s_acctbal < 0")
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
     text_id = text_to_int(F.expr("CAST(n_nationkey + 1 AS STRING)"))
 
     def studies(rows, count, name, what):
@@ -451,7 +454,7 @@ first AS (SELECT n_nationkey + 1 AS study_id, dataset_type, n_name AS path
   FROM nation CROSS JOIN kind),
 second AS (SELECT DISTINCT n_nationkey + 1 AS study_id, 'element' AS dataset_type,
     n_name || '/v2' AS path
-  FROM nation JOIN supplier ON s_nationkey = n_nationkey WHERE s_acctbal < 0)
+  FROM nation JOIN supplier ON s_nationkey = n_nationkey)
 SELECT CAST(study_id AS BIGINT) AS study_id, dataset_type, path AS dataset_filepath,
   CAST(NULL AS VARCHAR) AS dataset_description
 FROM (SELECT * FROM first ANTI JOIN second USING (study_id, dataset_type)
@@ -459,7 +462,7 @@ FROM (SELECT * FROM first ANTI JOIN second USING (study_id, dataset_type)
 def dataset_replace(spark, sf_dir):
     """One dataset per study and type; a further one of the same type replaces it."""
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet").where("s_acctbal < 0")
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
     store = _store(spark)
     store.put_datasets(
         nation.selectExpr(
@@ -487,7 +490,7 @@ report(check_name, is_error, n_rows) AS (
   UNION ALL SELECT 'key_missing', true,
     count(*) FILTER (fid IS NULL OR zid IS NULL) FROM inter
   UNION ALL SELECT 'piece_id_overflow', true,
-    count(*) FILTER (pno >= 1048576 OR eid < 0 OR eid >= 8796093022208) FROM piece
+    count(*) FILTER (pno >= 1048576 OR eid < -8796093022208 OR eid >= 8796093022208) FROM piece
   UNION ALL SELECT 'route_with_two_diversion_times', false, count(*) FROM (
     SELECT route_code FROM element JOIN piece ON element_id = eid
     GROUP BY route_code HAVING count(DISTINCT diversion_time) > 1)
@@ -506,6 +509,48 @@ def _report(spark, sf_dir):
     return quality.load_report(base.split.ear, base.intersections, *_parameters(spark))
 
 
+INPUT_REPORT = """,
+line AS (
+  SELECT CASE WHEN route_code <> 'R3' THEN element_id END AS id,
+    element_id IN (SELECT eid FROM seg) AS has_line
+  FROM raw_element CROSS JOIN (VALUES (1), (2)) AS v(n) WHERE n = 1 OR route_code = 'R7'),
+report(check_name, is_error, n_rows) AS (
+  SELECT 'elements_read', false, count(*) FROM line
+  UNION ALL SELECT 'elements_without_id', false, count(*) FILTER (id IS NULL) FROM line
+  UNION ALL SELECT 'elements_without_line', false, count(*) FILTER (NOT has_line) FROM line
+  UNION ALL SELECT 'element_id_repeated', true, count(*) FROM (
+    SELECT id FROM line WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1)
+  UNION ALL SELECT 'zones_read', false, count(*) FROM zone
+  UNION ALL SELECT 'zones_without_id', false, 0
+  UNION ALL SELECT 'zones_without_area', false, 0
+  UNION ALL SELECT 'zone_id_repeated', true, 0
+  UNION ALL SELECT 'element_type_repeated', true, 1
+  UNION ALL SELECT 'process_type_repeated', true, 0),
+failed(check_name, n_rows) AS (
+  SELECT 'cast_failed_aadt_goods', count(*) FILTER (aadt_goods >= 100) FROM raw_element
+  UNION ALL SELECT 'cast_failed_aadt_passenger', 0
+  UNION ALL SELECT 'cast_failed_diversion_time', 0)
+SELECT check_name, CAST(CASE WHEN is_error AND n_rows > 0 THEN 1 ELSE 0 END AS INTEGER) AS severity,
+  CAST(n_rows AS BIGINT) AS n_rows FROM report
+UNION ALL SELECT check_name, 0, CAST(n_rows AS BIGINT) FROM failed"""
+
+
+@query(sql.INPUT + INPUT_REPORT)
+def input_report(spark, sf_dir):
+    """All orders, one route twice and one without ids, text in a field of numbers, a type given twice."""
+    raw = fixtures.raw_elements(spark, sf_dir)
+    number = F.when(F.col("route_code") != "R3", F.col("element_id"))
+    lines = raw.unionByName(raw.where("route_code = 'R7'")).withColumn("element_id", number)
+    kinds, processes = _parameters(spark)
+    kinds = kinds.unionByName(kinds.where("elementtype_code = 'EV'"))
+    text = raw.withColumn(
+        "aadt_goods", F.expr("if(aadt_goods >= 100, 'many', CAST(aadt_goods AS STRING))")
+    )
+    return quality.input_report(
+        bind_elements(lines), bind_zones(fixtures.zones(spark, sf_dir)), kinds, processes
+    ).unionByName(quality.failed_casts(text, ELEMENT_FIELDS))
+
+
 @query(sql.OVERLAY + sql.parameters() + REPORT + "SELECT * FROM graded")
 def load_report(spark, sf_dir):
     return _report(spark, sf_dir)

@@ -162,12 +162,12 @@ def split_lines(
 
 def piece_id(source="eid", number="piece_no", bits: int = PIECE_BITS):
     """element_feature_id; unique while id_overflow() is false for every row."""
-    return (F.col(source) * F.lit(1 << bits) + F.col(number)).cast("bigint")
+    return (F.shiftleft(F.col(source).cast("bigint"), bits) + F.col(number)).cast("bigint")
 
 
 def id_overflow(source="element_id", number="piece_no", bits: int = PIECE_BITS):
     return (
         (F.col(number) >= F.lit(1 << bits))
-        | (F.col(source) < 0)
+        | (F.col(source) < F.lit(-(1 << (63 - bits))))
         | (F.col(source) >= F.lit(1 << (63 - bits)))
     )

@@ -72,6 +72,12 @@ class Stage:
         self.spark = spark
         self.root = f"{folder or shared_dir(spark)}/stage-{uuid.uuid4().hex}"
 
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        self.close()
+
     def write(self, name: str, df: DataFrame) -> str:
         path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(path)

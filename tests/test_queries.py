@@ -5,7 +5,9 @@ import os
 import pytest
 
 import __spark_entry__ as driver
+from checks import queries as own
 from checks.compare import connect, difference
+from checks.inputs import STUDY_ID, stored
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -18,13 +20,20 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(own.QUERIES) == set(own.ORACLES)
+    assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(own.QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert difference(spark, SF_DIR, name, con) is None
 
 
 def test_entry(spark):
     assert driver.entry(spark).count() == 35
+
+
+def test_summaries_read_one_study(spark):
+    summary = stored(spark, SF_DIR).route_summary(STUDY_ID, *own._parameters(spark))
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(study_id" in plan
