@@ -26,15 +26,15 @@ ROWS_PER_CELL = 512
 def _ranked(rows: DataFrame, group: str | None, cell: str, order: list) -> DataFrame:
     """Adds 0-based `rank` in (cell, order) within group, from cell-wise ranks and cell counts."""
     keys = [group, cell] if group else [cell]
+    # dealt by all keys: rows already dealt by the group alone would lie in one task per group
+    rows = rows.repartition(*keys)
     counts = rows.groupBy(*keys).agg(F.count("*").alias("n"))
     past = Window.partitionBy(*keys[:-1]).orderBy(cell)
     past = past.rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select(*keys, F.coalesce(F.sum("n").over(past), F.lit(0)).alias("before"))
     inside = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
-    # dealt by all keys: rows already dealt by the group alone would lie in one task per group
     return (
-        rows.repartition(*keys)
-        .withColumn("inside", inside)
+        rows.withColumn("inside", inside)
         .join(before, keys)
         .withColumn("rank", F.col("before") + F.col("inside"))
         .drop("inside", "before")
