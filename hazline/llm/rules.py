@@ -21,18 +21,14 @@ from pyspark.sql import functions as F
 
 from hazline.llm.common import Stage
 
-SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 ALL = "*"  # language of the reference over the whole corpus
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.length(F.translate(text, characters, ""))
-
-
-def _removed(text: Column, pattern: str) -> Column:
-    return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
+def _number_of(text: Column, characters: str) -> Column:
+    """Characters of a class; what lies between them goes in whole runs."""
+    return F.length(F.regexp_replace(text, f"[^{characters}]+", ""))
 
 
 def words_of(text: Column) -> Column:
@@ -41,17 +37,23 @@ def words_of(text: Column) -> Column:
 
 def _windows(codes: str) -> Column:
     n = F.size(codes) - (WINDOW - 1)
-    spans = F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.slice(codes, i, WINDOW)))
+    # word by word: a slice would copy the whole array for each window
+    spans = F.transform(
+        F.sequence(F.lit(0), n - 1),
+        lambda i: F.xxhash64(*[F.get(codes, i + k) for k in range(WINDOW)]),
+    )
     return F.when(n > 0, spans).otherwise(F.array().cast("array<bigint>"))
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
-    """Adds words, word_chars, n_words, n_symbols, n_dup_lines and n_repeat_words to rows with a text."""
+    """Adds codes (hashes of the words), rare, word_chars, n_words, n_symbols, n_dup_lines and
+    n_repeat_words to rows with a text. rare is the text without what no class of characters counts."""
     text = F.col("text")
-    lines = F.filter(F.split(text, "\n"), lambda x: _without(x, SPACE) > 0)
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     counted = (
         docs.withColumn("words", words_of(text))
         .withColumn("lines", lines)
+        .withColumn("rare", F.regexp_replace(text, r"[a-z\x20\x09-\x0D]+", ""))
         .withColumn("codes", F.transform("words", lambda w: F.xxhash64(w)))
         .withColumn("spans", _windows("codes"))
     )
@@ -74,10 +76,11 @@ def base_counts(docs: DataFrame) -> DataFrame:
     )
     return counted.select(
         *docs.columns,
-        "words",
+        "codes",
+        "rare",
         F.size("words").cast("long").alias("n_words"),
-        _without(text, SPACE).cast("long").alias("word_chars"),
-        (F.length(text) - _without(text, SYMBOLS)).cast("long").alias("n_symbols"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        _number_of(F.col("rare"), SYMBOLS).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.col("n_repeat_words").cast("long").alias("n_repeat_words"),
     )
@@ -104,28 +107,33 @@ def common_words(docs: DataFrame, common: int) -> DataFrame:
     return listed.select("language", F.transform("top", lambda x: x["word"]).alias("ref_words"))
 
 
-def with_histograms(counted: DataFrame, refs: DataFrame) -> DataFrame:
+def with_histograms(counted: DataFrame, refs: DataFrame, common: int) -> DataFrame:
     """Adds reference (the language compared with), classes, hits and base_failed."""
-    capitals, digits = _removed(F.col("text"), r"\p{Lu}"), _removed(F.col("text"), r"[0-9]")
-    marks = _removed(F.col("text"), r"[!-/:-@\[-`{-~]") - F.col("n_symbols")
-    listed = [capitals, digits, F.col("n_symbols"), marks]
-    hits = F.transform("ref_words", lambda w: F.size("words") - F.size(F.array_remove("words", w)))
+    rare = F.col("rare")
+    marks = _number_of(rare, r"!-/:-@\[-`{-~") - F.col("n_symbols")
+    listed = [_number_of(rare, r"\p{Lu}"), _number_of(rare, "0-9"), F.col("n_symbols"), marks]
+
+    def hits_of(code: Column) -> Column:
+        return F.when(code.isNull(), 0).otherwise(F.size("codes") - F.size(F.array_remove("codes", code)))
+
+    hits = [hits_of(F.get("ref_codes", F.lit(i))) for i in range(common)]
+    refs = refs.select("language", F.transform("ref_words", lambda w: F.xxhash64(w)).alias("ref_codes"))
     known = refs.withColumn("reference", F.col("language"))
     overall = refs.where(F.col("language") == ALL).select(
-        F.col("ref_words").alias("any_words"), F.lit(1).alias("one")
+        F.col("ref_codes").alias("any_codes"), F.lit(1).alias("one")
     )
     bound = counted.join(known, "language", "left").withColumn("one", F.lit(1))
     bound = bound.join(overall, "one", "left")  # a single row
-    bound = bound.withColumn("ref_words", F.coalesce("ref_words", "any_words"))
+    bound = bound.withColumn("ref_codes", F.coalesce("ref_codes", "any_codes"))
     return bound.select(
         *counted.columns,
         F.coalesce("reference", F.lit(ALL)).alias("reference"),
         F.array(*[x.cast("double") for x in listed]).alias("classes"),
-        F.coalesce(hits, F.array()).cast("array<double>").alias("hits"),
+        F.array(*[x.cast("double") for x in hits]).alias("hits"),
         (
             (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
         ).alias("base_failed"),
-    ).drop("words")
+    ).drop("codes", "rare")
 
 
 def _closed(counts: str, total: str) -> Column:
@@ -194,7 +202,7 @@ def quality_rules(
         *carried,
     )
     refs = stage.put("words", common_words(slim.select("language", "text"), common))
-    judged = with_histograms(base_counts(slim), refs).drop("text")
+    judged = with_histograms(base_counts(slim), refs, common).drop("text")
     judged = stage.put("judged", judged)
     judged = judged.withColumn("closed_classes", _closed("classes", "word_chars"))
     judged = judged.withColumn("closed_hits", _closed("hits", "n_words"))
