@@ -10,8 +10,9 @@ A source's documents fall into blocks by a seeded hash of their id. With its bud
 source is gone through in as many whole passes as fit, and one more pass that stops: blocks
 come in a seeded order of each pass, blocks that fit are taken whole, and in the block where
 the budget ends documents are taken in seeded order while they fit. Budgets are met to
-within one document. Only block totals are summed in order (`blocks` rows a source), never a
-source's documents.
+within one document. Only block totals are summed in order, never a source's documents. The number
+of blocks follows the square root of the number of documents, so that neither the list of a source's
+blocks nor a block that is gone through document by document becomes a large task.
 
 All in DataFrame functions. The table of sources (one row each) is read by the driver for the
 bisection. Tokens are words unless a column says otherwise. NULL sources are a source of
@@ -67,16 +68,19 @@ def mix(
     budget: int | None = None,
     max_repeats: float = 4.0,
     target_entropy: float | None = 0.95,
-    blocks: int = 512,
+    blocks: int | None = None,
     seed: int = 1,
     carry: tuple[str, ...] = (),
     stage: Stage | None = None,
 ) -> DataFrame:
     """doc_id, source, pass_no, block, block_rank, n_tokens and carried_<name> of each drawn row.
 
-    budget: tokens in all (those of the input where None).
+    budget: tokens in all (those of the input where None). blocks: per source, at most
+    (8 times the square root of the number of rows where None).
     """
     stage = stage or Stage(spark)
+    if blocks is None:
+        blocks = 8 * math.isqrt(docs.count()) + 1
     counted = F.size(words_of(F.coalesce(F.col("text").cast("string"), F.lit(""))))
     slim = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
