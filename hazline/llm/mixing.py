@@ -76,11 +76,11 @@ def mix(
     """doc_id, source, pass_no, block, block_rank, n_tokens and carried_<name> of each drawn row.
 
     budget: tokens in all (those of the input where None). blocks: per source, at most
-    (8 times the square root of the number of rows where None).
+    (twice the square root of the number of rows where None).
     """
     stage = stage or Stage(spark)
     if blocks is None:
-        blocks = 8 * math.isqrt(docs.count()) + 1
+        blocks = 2 * math.isqrt(docs.count()) + 1
     counted = F.size(words_of(F.coalesce(F.col("text").cast("string"), F.lit(""))))
     slim = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),

@@ -158,11 +158,12 @@ def test_disclosure_base_and_terms(spark, docs, rows):
     assert clean[0] == "filler0 words0 go [...] [email] here0" and clean[50] == "plain text0 go here"
 
 
-def test_mixing_meets_weights(spark, empty):
+@pytest.mark.parametrize("blocks", [16, None])
+def test_mixing_meets_weights(spark, blocks):
     sizes = {"a": 4000, "b": 400, "c": 20}
     rows = [(i, " ".join(["w"] * 10), s) for s, n in sizes.items() for i in range(n)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    drawn = mixing.mix(spark, frame, max_repeats=4, target_entropy=None, blocks=16).collect()
+    drawn = mixing.mix(spark, frame, max_repeats=4, target_entropy=None, blocks=blocks).collect()
     got = Counter(r.source for r in drawn)
     t = mixing.exponent([40000, 4000, 200], 44200, 4, None)
     want = mixing.tempered([n / 44200 for n in (40000, 4000, 200)], t)
