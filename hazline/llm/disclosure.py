@@ -4,13 +4,15 @@ Protected entities are e-mail addresses, IP addresses, card and phone numbers, a
 and passwords). A term near an entity (within `reach` words) can disclose it: over the whole
 corpus, the pointwise mutual information of term and entity is compared with the information
 content of the entity, and a term that reveals `threshold` of it or more becomes a span of its
-own. Evidence counts only if it comes from `support` different texts or more. Document
-frequencies are taken over all documents.
+own wherever it stands in a document that holds the entity, near it or not. Evidence counts
+only if it comes from `support` different texts or more. Document frequencies are taken over
+all documents.
 
 Only documents with entities give (entity, term) pairs, in proportion to their entities. Words
 are counted in the whole corpus only where a filter of fixed size (2^20 bits) says
 that they may be such a term; what it lets through in vain is dropped by the join that
-follows. Counting uses hashes of terms and entities; spans come from the text itself.
+follows. Spans of terms are found in the same way, by a filter (2^24 bits) of the disclosing
+pairs that is asked for each entity of a document and each word of it. Counting uses hashes of terms and entities; spans come from the text itself.
 
 NULL and empty texts have no spans; rows that repeat an id are treated one by one; with an empty
 table there is nothing to count.
@@ -18,7 +20,7 @@ table there is nothing to count.
 
 import hashlib
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,7 @@ SECRET = re.compile(r"AKIA[0-9A-Z]{16}|\b(?:password|passwd|secret|token|api_key
 BASE = ("email", "ip", "card", "phone")
 WORD = re.compile(r"[^\W\d_]{4,}")
 BITS = 20
+PAIR_BITS = 24
 
 FOUND = T.StructType(
     [
@@ -50,15 +53,12 @@ FOUND = T.StructType(
         T.StructField("secrets", T.StringType()),
         T.StructField(
             "near",
-            T.ArrayType(
-                T.StructType(
-                    [bigint("entity"), bigint("term"), T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType())]
-                )
-            ),
+            T.ArrayType(T.StructType([bigint("entity"), bigint("term")])),
         ),
         T.StructField("entities", T.ArrayType(T.LongType())),
     ]
 )
+MARKS = "doc_id long, text_key long, entity long, term long, places array<struct<first: int, last: int>>"
 
 
 def luhn(digits: str) -> bool:
@@ -108,9 +108,13 @@ def key(text: str) -> int:
     return xxhash.xxh64_intdigest(utf8(text)) - (1 << 63)
 
 
-def near_terms(text: str, spans: list[tuple[int, int]], reach: int) -> list[tuple]:
-    """(entity, term, first, last) of the words within reach of each entity, other entities left out."""
-    out = []
+def secret_spans(text: str) -> list[tuple[int, int]]:
+    return [m.span() for m in SECRET.finditer(text)] if "AKIA" in text or "=" in text else []
+
+
+def near_terms(text: str, spans: list[tuple[int, int]], reach: int) -> set[tuple[int, int]]:
+    """(entity, term) of the words within reach of each entity, other entities left out."""
+    out = set()
     for first, last in spans:
         entity = key(text[first:last])
         side = 24 * reach
@@ -120,7 +124,19 @@ def near_terms(text: str, spans: list[tuple[int, int]], reach: int) -> list[tupl
             # words cut by the edge of the stretch looked at are not words of the text
             whole = (a == 0 or not text[a - 1].isalnum()) and (b == len(text) or not text[b].isalnum())
             if whole and not any(a < y and x < b for x, y in spans):
-                out.append((entity, key(text[a:b].lower()), a, b))
+                out.add((entity, key(text[a:b].lower())))
+    return out
+
+
+def free_words(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Words of the text that touch none of the (sorted) spans."""
+    out, at, past = [], 0, 0
+    for a, b in (m.span() for m in WORD.finditer(text)):
+        while at < len(spans) and spans[at][0] < b:
+            past = max(past, spans[at][1])
+            at += 1
+        if past <= a:
+            out.append((a, b))
     return out
 
 
@@ -131,7 +147,7 @@ def find(docs: DataFrame, reach: int) -> DataFrame:
         + [
             (
                 "near",
-                pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])),
+                pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64())])),
             ),
             ("entities", pa.list_(pa.int64())),
         ]
@@ -145,9 +161,9 @@ def find(docs: DataFrame, reach: int) -> DataFrame:
                 for doc, text in zip(piece.column("doc_id").to_pylist(), piece.column("text").to_pylist(), strict=True):
                     spans = base_spans(text)
                     base = [s for kind in BASE for s in listed(kind, spans[kind])]
-                    secret = [m.span() for m in SECRET.finditer(text)] if "AKIA" in text or "=" in text else []
+                    secret = secret_spans(text)
                     every = sorted({s for kind in BASE for s in spans[kind]} | set(secret))
-                    near = near_terms(text, every, reach) if every else []
+                    near = sorted(near_terms(text, every, reach)) if every else []
                     rows.append(
                         {
                             "doc_id": doc,
@@ -156,7 +172,7 @@ def find(docs: DataFrame, reach: int) -> DataFrame:
                             "base_spans": ",".join(base),
                             "base_sha256": hashlib.sha256(",".join(base).encode()).hexdigest(),
                             "secrets": ",".join(listed("secret", secret)),
-                            "near": [dict(zip(("entity", "term", "first", "last"), x, strict=True)) for x in near],
+                            "near": [{"entity": e, "term": t} for e, t in near],
                             "entities": sorted({key(text[a:b]) for a, b in every}),
                         }
                     )
@@ -165,12 +181,12 @@ def find(docs: DataFrame, reach: int) -> DataFrame:
     return texts(docs).mapInArrow(run, FOUND)
 
 
-def term_filter(terms: DataFrame) -> bytes:
-    """Bits of the terms' hashes: at most 2^14 words of 64 bits reach the driver, whatever the corpus."""
-    bit = F.expr(f"term & {(1 << BITS) - 1}L").alias("at")
-    cells = terms.select(bit).selectExpr("at div 64 AS cell", "shiftleft(1L, int(at % 64)) AS bit")
+def hash_filter(hashes: DataFrame, column: str, n_bits: int) -> bytes:
+    """Bits of hashes: at most 2^(n_bits - 6) words of 64 bits reach the driver, whatever the corpus."""
+    bit = F.expr(f"({column}) & {(1 << n_bits) - 1}L").alias("at")
+    cells = hashes.select(bit).selectExpr("at div 64 AS cell", "shiftleft(1L, int(at % 64)) AS bit")
     cells = cells.groupBy("cell").agg(F.bit_or("bit").alias("word"))
-    bits = np.zeros(1 << (BITS - 6), np.uint64)
+    bits = np.zeros(1 << (n_bits - 6), np.uint64)
     for cell, word in cells.collect():
         bits[cell] = word & 0xFFFFFFFFFFFFFFFF
     return bits.tobytes()
@@ -213,16 +229,14 @@ def disclosing(
     docs: DataFrame, found: DataFrame, stage: Stage, threshold: float, support: int
 ) -> DataFrame:
     """entity, term pairs whose mutual information reaches the threshold."""
-    pairs = found.select("doc_id", "text_key", F.explode("near").alias("x")).select(
-        "doc_id", "text_key", "x.entity", "x.term"
-    )
-    # texts first, so that a group of copies is one row of evidence per pair
-    per_text = pairs.groupBy("entity", "term", "text_key").agg(F.count_distinct("doc_id").alias("n"))
+    pairs = found.select("text_key", F.explode("near").alias("x")).select("text_key", "x.entity", "x.term")
+    # texts first, so that a group of copies is one row of evidence per pair; a row holds a pair once
+    per_text = pairs.groupBy("entity", "term", "text_key").agg(F.count("*").alias("n"))
     both = per_text.groupBy("entity", "term").agg(F.count("*").alias("texts"), F.sum("n").alias("n_both"))
     both = stage.put("pairs", both.where(F.col("texts") >= support))
     own = found.select(F.explode("entities").alias("entity")).groupBy("entity")
     own = own.agg(F.count("*").alias("n_entity"))
-    terms = term_counts(docs, term_filter(both))
+    terms = term_counts(docs, hash_filter(both, "term", BITS))
     total = docs.count()
     joined = both.join(own, "entity").join(terms, "term")
     information = F.log(F.lit(float(max(total, 1))) / F.col("n_entity"))
@@ -230,6 +244,45 @@ def disclosing(
     return joined.where((information > 0) & (mutual >= threshold * information)).select("entity", "term")
 
 
+def marks(docs: DataFrame, bits: bytes) -> DataFrame:
+    """Entities and words of a text that may be disclosing pairs, with all places of the word."""
+    schema = pa.schema(
+        [
+            *((name, pa.int64()) for name in ("doc_id", "text_key", "entity", "term")),
+            ("places", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))),
+        ]
+    )
+
+    def run(batches):
+        cells = np.frombuffer(bits, np.uint64)
+        mask = np.int64((1 << PAIR_BITS) - 1)
+        for batch in batches:
+            for first, last in slices(batch):
+                piece = batch.slice(first, last - first)
+                rows = []
+                for doc, text in zip(piece.column("doc_id").to_pylist(), piece.column("text").to_pylist(), strict=True):
+                    every = sorted({s for spans in base_spans(text).values() for s in spans} | set(secret_spans(text)))
+                    if not every:
+                        continue
+                    places = defaultdict(list)
+                    for a, b in free_words(text, every):
+                        places[text[a:b].lower()].append({"first": a, "last": b})
+                    words = list(places)
+                    terms = np.array([key(word) for word in words], np.int64)
+                    text_key = key(text)
+                    for entity in sorted({key(text[a:b]) for a, b in every}):
+                        at = (terms ^ np.int64(entity)) & mask
+                        maybe = cells[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)
+                        for n in np.flatnonzero(maybe):
+                            rows.append((doc, text_key, entity, int(terms[n]), places[words[n]]))
+                columns = zip(*rows, strict=True) if rows else ([] for _ in schema)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
+                )
+
+    return texts(docs).mapInArrow(run, MARKS)
+
+
 def protect(
     spark: SparkSession,
     docs: DataFrame,
@@ -242,10 +295,9 @@ def protect(
     stage = stage or Stage(spark)
     found = stage.put("found", find(docs, reach))
     strong = stage.put("strong", disclosing(docs, found, stage, threshold, support))
-    near = found.select("doc_id", "text_key", F.explode("near").alias("x")).select(
-        "doc_id", "text_key", "x.entity", "x.term", "x.first", "x.last"
-    )
-    hits = near.join(strong, ["entity", "term"]).select("doc_id", "text_key", "first", "last").distinct()
+    maybe = marks(docs, hash_filter(strong, "entity ^ term", PAIR_BITS))
+    hits = maybe.join(strong, ["entity", "term"]).select("doc_id", "text_key", F.explode("places").alias("x"))
+    hits = hits.select("doc_id", "text_key", "x.first", "x.last").distinct()
     told = hits.groupBy("doc_id", "text_key").agg(
         F.sort_array(F.collect_list(F.struct("first", "last"))).alias("told")
     )

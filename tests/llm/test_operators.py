@@ -158,6 +158,18 @@ def test_disclosure_base_and_terms(spark, docs, rows):
     assert clean[0] == "filler0 words0 go [...] [email] here0" and clean[50] == "plain text0 go here"
 
 
+def test_disclosing_terms_go_in_the_whole_text(spark, docs):
+    far = " ".join(["plain text"] * 20)
+    told = [(n, f"zanzibarian me.x@mail.example.com {far} Zanzibarian here{n}", "en", "s", 0, "", 0) for n in range(6)]
+    # the term away from the address alone, before it, and without the address
+    told += [(6, f"zanzibarian {far} me.x@mail.example.com", "en", "s", 0, "", 0)]
+    told += [(7, "the zanzibarian alone", "en", "s", 0, "", 0)]
+    frame = spark.createDataFrame([*told, *[(50 + n, f"plain text here {n}", "en", "s", 0, "", 0) for n in range(600)]], docs.schema)
+    clean = {r.doc_id: r.text for r in disclosure.sanitise(spark, frame).collect()}
+    assert all(clean[n] == f"[...] [email] {far} [...] here{n}" for n in range(6))
+    assert clean[6] == f"[...] {far} [email]" and clean[7] == "the zanzibarian alone"
+
+
 @pytest.mark.parametrize("blocks", [16, None])
 def test_mixing_meets_weights(spark, blocks):
     sizes = {"a": 4000, "b": 400, "c": 20}
