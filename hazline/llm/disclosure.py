@@ -8,6 +8,11 @@ own wherever it stands in a document that holds the entity, near it or not. Evid
 only if it comes from `support` different texts or more. Document frequencies are taken over
 all documents.
 
+A word is a run of letters, digits and underscores (Unicode) of any length, in lower case: short
+names, handles, customer and account numbers are words as they stand; a hyphen, dot or
+apostrophe parts words, and a run of a script without spaces is one word. Words that touch an entity are
+no terms and do not count towards `reach`; the words of anything else, such as a URL, do.
+
 Only documents with entities give (entity, term) pairs, in proportion to their entities. Words
 are counted in the whole corpus only where a filter of fixed size (2^20 bits) says
 that they may be such a term; what it lets through in vain is dropped by the join that
@@ -20,6 +25,7 @@ table there is nothing to count.
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -39,7 +45,7 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 SECRET = re.compile(r"AKIA[0-9A-Z]{16}|\b(?:password|passwd|secret|token|api_key)=[^\s]+")
 BASE = ("email", "ip", "card", "phone")
-WORD = re.compile(r"[^\W\d_]{4,}")
+WORD = re.compile(r"\w+")
 BITS = 20
 PAIR_BITS = 24
 
@@ -112,22 +118,6 @@ def secret_spans(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in SECRET.finditer(text)] if "AKIA" in text or "=" in text else []
 
 
-def near_terms(text: str, spans: list[tuple[int, int]], reach: int) -> set[tuple[int, int]]:
-    """(entity, term) of the words within reach of each entity, other entities left out."""
-    out = set()
-    for first, last in spans:
-        entity = key(text[first:last])
-        side = 24 * reach
-        left = [m.span() for m in WORD.finditer(text, max(0, first - side), first)][-reach:]
-        right = [m.span() for m in WORD.finditer(text, last, min(len(text), last + side))][:reach]
-        for a, b in left + right:
-            # words cut by the edge of the stretch looked at are not words of the text
-            whole = (a == 0 or not text[a - 1].isalnum()) and (b == len(text) or not text[b].isalnum())
-            if whole and not any(a < y and x < b for x, y in spans):
-                out.add((entity, key(text[a:b].lower())))
-    return out
-
-
 def free_words(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Words of the text that touch none of the (sorted) spans."""
     out, at, past = [], 0, 0
@@ -140,6 +130,19 @@ def free_words(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]
     return out
 
 
+def near_terms(text: str, spans: list[tuple[int, int]], reach: int) -> set[tuple[int, int]]:
+    """(entity, term) of the `reach` words before and after each entity, however far they stand."""
+    words = free_words(text, spans)
+    starts = [a for a, _ in words]
+    terms = [key(text[a:b].lower()) for a, b in words]
+    out = set()
+    for first, last in spans:
+        entity = key(text[first:last])
+        at = bisect_left(starts, first)  # no free word starts within the entity
+        out.update((entity, term) for term in terms[max(0, at - reach) : at + reach])
+    return out
+
+
 def find(docs: DataFrame, reach: int) -> DataFrame:
     """Spans of entities in every text, and the terms near them."""
     schema = pa.schema(
@@ -199,6 +202,7 @@ def term_counts(docs: DataFrame, bits: bytes) -> DataFrame:
         cells = np.frombuffer(bits, np.uint64)
         mask = (1 << BITS) - 1
         known: dict[str, int | None] = {}
+        held = 0  # characters of known
         seen: Counter = Counter()
 
         def made():
@@ -210,14 +214,17 @@ def term_counts(docs: DataFrame, bits: bytes) -> DataFrame:
         for batch in batches:
             for first, last in slices(batch):
                 for text in batch.column("text").slice(first, last - first).to_pylist():
-                    own = set(WORD.findall(text.lower()))
+                    # lower case word by word, as for the terms: it can change what is a word
+                    own = {w.lower() for w in set(WORD.findall(text))}
                     for word in [w for w in own if w not in known]:
                         h = key(word)
+                        held += len(word)
                         at = h & mask
                         known[word] = h if int(cells[at >> 6]) >> (at & 63) & 1 else None
                     seen.update(map(known.__getitem__, own))
-                if len(known) > 400_000:
+                if len(known) > 400_000 or held > 8_000_000:
                     known.clear()
+                    held = 0
             del seen[None]
             yield made()
 

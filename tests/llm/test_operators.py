@@ -170,6 +170,16 @@ def test_disclosing_terms_go_in_the_whole_text(spark, docs):
     assert clean[6] == f"[...] {far} [email]" and clean[7] == "the zanzibarian alone"
 
 
+def test_terms_of_any_length_at_any_stretch(spark, docs):
+    url = "https://x.example/" + "z" * 200
+    told = [(n, f"my Li user_47 {url} a {n} 1.2.3.4, +1 555 123 4567 ok 4711 b{n}", "en", "s", 0, "", 0) for n in range(6)]
+    plain = [(50 + n, f"my a ok https x example text{n}", "en", "s", 0, "", 0) for n in range(600)]
+    frame = spark.createDataFrame([*told, *plain], docs.schema)
+    clean = {r.doc_id: r.text for r in disclosure.sanitise(spark, frame, reach=8).collect()}
+    shown = "https://x.example/[...] a {0} [ip], [phone] ok [...] b{0}"
+    assert all(clean[n] == "my [...] [...] " + shown.format(n) for n in range(6)) and clean[50] == plain[0][1]
+
+
 @pytest.mark.parametrize("blocks", [16, None])
 def test_mixing_meets_weights(spark, blocks):
     sizes = {"a": 4000, "b": 400, "c": 20}
