@@ -11,8 +11,12 @@ are compared with those of the language, summed over all texts that pass the bas
 of them that the first references do not reject. The distance is the square root of the Jensen-Shannon divergence in bits, from 0 to 1. A distance
 counts only where the text is long enough for its histogram: `min_chars`, `min_words`.
 
-References are one row per language. A text of a language that is NULL or has no reference is
-compared with the whole corpus. NULL and empty texts have no words and fail the base; rows that
+References are one row per language. A language has one only if the texts it sums are
+`min_reference_texts` (10) or more and hold `min_reference_words` (5,000) or more words, so that no text is
+compared with little but itself. A text whose language is NULL or has no reference is compared with the
+whole corpus: with the commonest words of all texts, and all texts that pass. If those that are left for
+the second comparison are too few even for that, the first one's reference of the whole corpus holds.
+NULL and empty texts have no words and fail the base; rows that
 repeat an id are judged one by one; an empty table gives no rows.
 """
 
@@ -23,7 +27,7 @@ from hazline.llm.common import Stage
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
-ALL = "*"  # language of the reference over the whole corpus
+ALL = "*"  # key of the reference over the whole corpus; those of languages begin with "l"
 
 
 def _number_of(text: Column, characters: str) -> Column:
@@ -87,10 +91,12 @@ def base_counts(docs: DataFrame) -> DataFrame:
 
 
 def common_words(docs: DataFrame, common: int) -> DataFrame:
-    """language, ref_words: the commonest words of each language, and of all as language ALL."""
+    """language, ref_words: the commonest words of each language, and of all texts as language ALL."""
     # explode_outer, as explode would have the optimizer split every text once more for a filter
     said = docs.select("language", F.explode_outer(F.split("text", r"[\x20\x09-\x0D]+")).alias("word"))
     counts = said.where("word <> ''").groupBy("language", "word").agg(F.count("*").alias("n"))
+    counts = counts.select(F.explode(F.array("language", F.lit(ALL))).alias("language"), "word", "n")
+    counts = counts.where("language IS NOT NULL").groupBy("language", "word").agg(F.sum("n").alias("n"))
     part = F.pmod(F.xxhash64("word"), F.lit(64)).alias("part")
     entry = F.struct((-F.col("n")).alias("less"), "word").alias("entry")
     # the first few of each of 64 parts of a language's words, then of those: no group is large
@@ -98,38 +104,32 @@ def common_words(docs: DataFrame, common: int) -> DataFrame:
     top = counts.select("language", part, entry).withColumn("place", F.row_number().over(order))
     top = top.where(F.col("place") <= common).select("language", "entry")
     each = top.groupBy("language").agg(F.sort_array(F.collect_list("entry")).alias("top"))
-    each = each.select("language", F.slice("top", 1, common).alias("top"))
-    every = each.select(F.explode_outer("top").alias("entry")).groupBy("entry.word")
-    every = every.agg(F.sum("entry.less").alias("less"))
-    every = every.agg(F.sort_array(F.collect_list(F.struct("less", "word"))).alias("top"))
-    every = every.select(F.lit(ALL).alias("language"), F.slice("top", 1, common).alias("top"))
-    listed = each.unionByName(every)
-    return listed.select("language", F.transform("top", lambda x: x["word"]).alias("ref_words"))
+    return each.select("language", F.transform(F.slice("top", 1, common), lambda x: x["word"]).alias("ref_words"))
 
 
 def with_histograms(counted: DataFrame, refs: DataFrame, common: int) -> DataFrame:
-    """Adds reference (the language compared with), classes, hits and base_failed."""
+    """Adds classes, hits and any_hits (of the commonest words of the language and of all) and base_failed."""
     rare = F.col("rare")
     marks = _number_of(rare, r"!-/:-@\[-`{-~") - F.col("n_symbols")
     listed = [_number_of(rare, r"\p{Lu}"), _number_of(rare, "0-9"), F.col("n_symbols"), marks]
 
-    def hits_of(code: Column) -> Column:
-        return F.when(code.isNull(), 0).otherwise(F.size("codes") - F.size(F.array_remove("codes", code)))
+    def hits(codes: str) -> Column:
+        # one lambda for all words: written out word by word, the code gets too large to be compiled
+        found = F.transform(codes, lambda c: (F.size("codes") - F.size(F.array_remove("codes", c))).cast("double"))
+        filled = F.concat(found, F.array_repeat(F.lit(0.0), F.lit(common) - F.size(codes)))
+        return F.coalesce(filled, F.array_repeat(F.lit(0.0), common))
 
-    hits = [hits_of(F.get("ref_codes", F.lit(i))) for i in range(common)]
     refs = refs.select("language", F.transform("ref_words", lambda w: F.xxhash64(w)).alias("ref_codes"))
-    known = refs.withColumn("reference", F.col("language"))
     overall = refs.where(F.col("language") == ALL).select(
         F.col("ref_codes").alias("any_codes"), F.lit(1).alias("one")
     )
-    bound = counted.join(known, "language", "left").withColumn("one", F.lit(1))
+    bound = counted.join(refs, "language", "left").withColumn("one", F.lit(1))
     bound = bound.join(overall, "one", "left")  # a single row
-    bound = bound.withColumn("ref_codes", F.coalesce("ref_codes", "any_codes"))
     return bound.select(
         *counted.columns,
-        F.coalesce("reference", F.lit(ALL)).alias("reference"),
         F.array(*[x.cast("double") for x in listed]).alias("classes"),
-        F.array(*[x.cast("double") for x in hits]).alias("hits"),
+        hits("ref_codes").alias("hits"),
+        hits("any_codes").alias("any_hits"),
         (
             (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
         ).alias("base_failed"),
@@ -143,25 +143,31 @@ def _closed(counts: str, total: str) -> Column:
 
 
 def references(judged: DataFrame, common: int) -> DataFrame:
-    """Summed histograms of the texts that pass the base, per language and over all."""
+    """Summed histograms of the texts that pass the base, per language and over all (as ALL), with
+    their numbers of texts and words."""
     good = judged.where(~F.col("base_failed"))
-    width = {"closed_classes": 5, "closed_hits": common + 1}
+    width = {"closed_classes": 5, "closed_hits": common + 1, "closed_any_hits": common + 1}
     sums = [
-        F.sum(F.coalesce(F.get(name, F.lit(i)), F.lit(0.0))).alias(f"{name}_{i}")
-        for name, n in width.items()
-        for i in range(n)
+        F.sum(F.get(name, F.lit(i))).alias(f"{name}_{i}") for name, n in width.items() for i in range(n)
     ]
-    languages = good.groupBy("reference").agg(*sums)
-    every = languages.agg(*[F.sum(c).alias(c) for c in languages.columns[1:]])
-    both = languages.where(F.col("reference") != ALL).unionByName(
-        every.withColumn("reference", F.lit(ALL)), allowMissingColumns=True
-    )
-    return both.select(
-        "reference",
-        *[
-            F.array(*[F.col(f"{name}_{i}") for i in range(n)]).alias("ref_" + name)
-            for name, n in width.items()
-        ],
+    size = [F.count("*").alias("n_texts"), F.sum("n_words").alias("ref_n_words")]
+    languages = good.groupBy("language").agg(*size, *sums)
+    every = languages.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in languages.columns[1:]])
+    every = every.withColumn("language", F.lit(ALL))
+
+    def listed(rows: DataFrame, words: str) -> DataFrame:
+        return rows.select(
+            "language",
+            "n_texts",
+            F.col("ref_n_words").alias("n_words"),
+            *[
+                F.array(*[F.col(f"{name}_{i}").cast("double") for i in range(width[name])]).alias(made)
+                for name, made in (("closed_classes", "ref_classes"), (words, "ref_hits"))
+            ],
+        )
+
+    return listed(languages.where("language IS NOT NULL"), "closed_hits").unionByName(
+        listed(every, "closed_any_hits")
     )
 
 
@@ -190,6 +196,8 @@ def quality_rules(
     min_words: int = 40,
     max_class_distance: float = 0.25,
     max_word_distance: float = 0.35,
+    min_reference_texts: int = 10,
+    min_reference_words: int = 5000,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """doc_id, counts of the base, distances, base_failed, kept and the carried columns of each row."""
@@ -197,7 +205,7 @@ def quality_rules(
     carried = [F.col(name).alias("carried_" + name) for name in carry]
     slim = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("language"),
+        F.concat(F.lit("l"), F.col("lang").cast("string")).alias("language"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         *carried,
     )
@@ -206,21 +214,35 @@ def quality_rules(
     judged = stage.put("judged", judged)
     judged = judged.withColumn("closed_classes", _closed("classes", "word_chars"))
     judged = judged.withColumn("closed_hits", _closed("hits", "n_words"))
-
-    def compared(name):
-        good = judged if name == "first" else near
-        refs = stage.put(name, references(good, common))
-        both = judged.join(refs, "reference", "left")
-        for kind, column in (("class", "closed_classes"), ("word", "closed_hits")):
-            apart = distance(F.col(column), F.col("ref_" + column))
+    judged = judged.withColumn("closed_any_hits", _closed("any_hits", "n_words"))
+    enough = (F.col("n_texts") >= min_reference_texts) & (F.col("n_words") >= min_reference_words)
+
+    def compared(refs, overall):
+        own = refs.where(enough & (F.col("language") != ALL)).drop("n_texts", "n_words")
+        overall = overall.select(
+            F.col("ref_classes").alias("any_ref_classes"), F.col("ref_hits").alias("any_ref_hits"), F.lit(1).alias("one")
+        )
+        both = judged.join(own, "language", "left").withColumn("one", F.lit(1))
+        both = both.join(overall, "one", "left").drop("one")  # a single row
+        alone = F.col("ref_hits").isNull()
+        both = both.withColumn("said", F.when(alone, F.col("closed_any_hits")).otherwise(F.col("closed_hits")))
+        for name in ("ref_classes", "ref_hits"):
+            both = both.withColumn(name, F.coalesce(name, "any_" + name))
+        for kind, column, ref in (("class", "closed_classes", "ref_classes"), ("word", "said", "ref_hits")):
+            apart = distance(F.col(column), F.col(ref))
             both = both.withColumn(kind + "_distance", F.coalesce(apart, F.lit(0.0)))
         return both
 
     far = (F.col("word_chars") >= min_chars) & (F.col("class_distance") > max_class_distance)
     far |= (F.col("n_words") >= min_words) & (F.col("word_distance") > max_word_distance)
     # once more against references without the texts that stand off, which blur them
-    near = compared("first").where(~far).select(judged.columns)
-    bound = compared("second")
+    first = stage.put("first", references(judged, common))
+    overall = first.where(F.col("language") == ALL)
+    near = compared(first, overall).where(~far).select(judged.columns)
+    second = stage.put("second", references(near, common))
+    left = second.where(enough & (F.col("language") == ALL)).withColumn("step", F.lit(2))
+    overall = left.unionByName(overall.withColumn("step", F.lit(1))).orderBy(F.desc("step")).limit(1)
+    bound = compared(second, overall)
     return bound.select(
         "doc_id",
         "n_words",

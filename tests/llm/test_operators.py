@@ -82,6 +82,84 @@ def test_rules_base(spark, docs, rows):
     assert not any(r.kept for r in got if r.base_failed)
 
 
+def plain_verdicts(rows, common=12):
+    """(doc, lang): kept and both distances, in plain Python."""
+
+    def apart(p, q):
+        p, q = ([v / max(sum(x), 1) for v in x] for x in (p, q))
+        half = [(a + b) / 2 for a, b in zip(p, q, strict=True)]
+        total = sum(v * np.log2(v / h) for x in (p, q) for v, h in zip(x, half, strict=True) if v > 0)
+        return np.sqrt(max(total / 2, 0))
+
+    said = defaultdict(Counter)
+    for _, text, lang, *_ in rows:
+        for name in {("all",), ("all",) if lang is None else ("of", lang)}:
+            said[name].update(WORDS.findall(text))
+    top = {k: [w for w, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:common]] for k, c in said.items()}
+
+    def histograms(text, name):
+        words, chars = WORDS.findall(text), "".join(WORDS.findall(text))
+        marks = len(re.findall(r"[!-/:-@\[-`{-~]", chars)) - len(re.findall(r"[#*$%&|<>]", chars))
+        bins = [len(re.findall(x, chars)) for x in ("[A-Z]", "[0-9]", r"[#*$%&|<>]")] + [marks]
+        hits = [words.count(w) for w in top[name]]
+        return [*bins, len(chars) - sum(bins)], [*hits, len(words) - sum(hits)]
+
+    def summed(good):
+        made = {}
+        for name in top:
+            own = [text for text, lang in good if name == ("all",) or ("of", lang) == name]
+            if len(own) >= 10 and sum(len(WORDS.findall(t)) for t in own) >= 5000:
+                made[name] = [np.sum(x, axis=0) for x in zip(*(histograms(t, name) for t in own), strict=True)]
+        return made
+
+    def judge(refs):
+        out = []
+        for _, text, lang, *_ in rows:
+            name = ("of", lang) if ("of", lang) in refs else ("all",)
+            one, two = (apart(p, q) for p, q in zip(histograms(text, name), refs[name], strict=True))
+            words = WORDS.findall(text)
+            out.append((one, two, (sum(map(len, words)) >= 200 and one > 0.25) or (len(words) >= 40 and two > 0.35)))
+        return out
+
+    passing = [len(WORDS.findall(r[1])) >= 20 for r in rows]  # the rows have no repeated windows
+    first = summed([(r[1], r[2]) for r, ok in zip(rows, passing, strict=True) if ok])
+    near = [(r[1], r[2]) for r, ok, j in zip(rows, passing, judge(first), strict=True) if ok and not j[2]]
+    second = judge({("all",): first[("all",)], **summed(near)})
+    return {(r[0], r[2]): (ok and not far, a, b) for r, ok, (a, b, far) in zip(rows, passing, second, strict=True)}
+
+
+def test_rules_verdict(spark, docs):
+    rng = np.random.default_rng(3)
+
+    def text(n, kind, share=0.5):
+        often = [f"{kind}{c}" for c in "abcdefghij"]
+        return " ".join(often[rng.integers(10)] if rng.random() < share else f"{kind}w{chr(97 + x % 26)}{chr(97 + x // 26)}" for x in rng.integers(0, 600, n))
+
+    def junk(n):
+        return " ".join(f"{x}%X#{x * 7 % 1000}" for x in rng.integers(0, 10**6, n))
+
+    made = [(text(700 + i, "e"), "en") for i in range(60)] + [(text(800, "f"), "fr") for i in range(55)]
+    # garbage without a language, and the only text under a tag, also a long one
+    made += [(junk(80), None) for _ in range(12)] + [(junk(60), "qq"), (junk(5100), "long"), (text(90, "f"), "few"), (text(15, "e"), "few")]
+    # prose without a language, and under tags that stand for something inside
+    made += [(text(100, "e"), lang) for lang in (None, None, "*", "*", "", "", "l", "len")]
+    # a language of two halves that both stand off from their sum: nothing is left for a second reference
+    made += [(text(600, "u" if i % 2 else "v", 1), "halves") for i in range(12)]
+    rows = [(i, t, lang, "s", 0, "", 0) for i, (t, lang) in enumerate(made)]
+    want = plain_verdicts(rows)
+    found = rules.quality_rules(spark, spark.createDataFrame(rows, docs.schema).repartition(3)).collect()
+    assert len(found) == len(rows)
+    got = {(r.doc_id, rows[r.doc_id][2]): r for r in found}
+    for place, (kept, one, two) in want.items():
+        assert got[place].kept == kept, place
+        assert abs(got[place].class_distance - one) < 1e-9 and abs(got[place].word_distance - two) < 1e-9, place
+    of = defaultdict(set)
+    for (_, lang), r in got.items():
+        of[lang].add(r.kept)
+    assert of["en"] == of["fr"] == {True} and of["qq"] == of["long"] == of["halves"] == {False}
+    assert not any(got[i, None].kept for i in range(115, 127))
+
+
 def test_records_round_trip(spark, docs, rows, tmp_path):
     index = records.write_indexed(spark, docs, str(tmp_path), BYTE, "leading_space", 0)
     plain = Tokenizer.from_file(BYTE)
