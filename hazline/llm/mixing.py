@@ -4,7 +4,11 @@ A source's weight is its token share to the power t, normalised. t is bisected:
 and so does the repetition of small sources as t falls from 1 (natural shares) to 0 (equal
 ones). The exponent taken is the smallest that keeps each source within `max_repeats` passes
 and, if a target entropy is given (as a share of the largest possible, log of the number of
-sources), the entropy at or below it.
+sources), the entropy at or below it. Where natural shares have more entropy than that, t goes
+beyond 1, and large sources are the ones that repeat. Where no t can hold both, the limit of
+passes comes first: t is then the largest that keeps it, with the entropy as near to the target as that
+allows. Where no t keeps the limit (a budget of more than `max_repeats` times all tokens), t is 1.
+Sources of equal sizes have equal weights at every t; t is 1 where they miss the target.
 
 A source's documents fall into blocks by a seeded hash of their id. With its budget of tokens a
 source is gone through in as many whole passes as fit, and one more pass that stops: blocks
@@ -43,22 +47,36 @@ def tempered(shares: list[float], t: float) -> list[float]:
 def exponent(
     tokens: list[int], budget: float, max_repeats: float, target_entropy: float | None, steps: int = 60
 ) -> float:
-    """Smallest exponent in [0, 1] within the repetition limit and the target entropy."""
+    """Smallest exponent within the repetition limit and the target entropy; else as the module says."""
     shares = [n / sum(tokens) for n in tokens]
     limit = None if target_entropy is None else target_entropy * math.log(len(tokens))
 
-    def allowed(t):
+    def repeated(t):  # within the limit of passes; holds on an interval around 1, or nowhere
         weights = tempered(shares, t)
-        repeats = max(w * budget / n for w, n in zip(weights, tokens, strict=True))
-        return repeats <= max_repeats and (limit is None or entropy(weights) <= limit)
-
-    if allowed(0.0):
-        return 0.0
-    low, high = 0.0, 1.0
-    for _ in range(steps):
-        middle = (low + high) / 2
-        low, high = (low, middle) if allowed(middle) else (middle, high)
-    return high
+        return max(w * budget / n for w, n in zip(weights, tokens, strict=True)) <= max_repeats
+
+    def reached(t):  # holds from some t on
+        return limit is None or entropy(tempered(shares, t)) <= limit
+
+    def border(low, high, wanted):
+        """The two sides of the place where `wanted` turns from false (at low) to true (at high)."""
+        for _ in range(steps):
+            middle = (low + high) / 2
+            low, high = (low, middle) if wanted(middle) else (middle, high)
+        return low, high
+
+    if not repeated(1.0):
+        return 1.0
+    if reached(1.0):
+        both = lambda t: repeated(t) and reached(t)
+        return 0.0 if both(0.0) else border(0.0, 1.0, both)[1]
+    if min(tokens) == max(tokens):
+        return 1.0
+    low, high = 1.0, 2.0
+    while repeated(high) and not reached(high) and high < 1e12:
+        low, high = high, 2 * high
+    place = border(low, high, lambda t: not repeated(t) or reached(t))[1]
+    return place if repeated(place) else border(low, high, lambda t: not repeated(t))[0]
 
 
 def mix(

@@ -272,6 +272,23 @@ def test_mixing_meets_weights(spark, blocks):
     assert got["c"] <= 80 and max(Counter((r.source, r.doc_id) for r in drawn).values()) <= 4
 
 
+def test_exponent_meets_target_entropy():
+    def share(sizes, t):
+        return mixing.entropy(mixing.tempered([n / sum(sizes) for n in sizes], t)) / np.log(len(sizes))
+
+    for sizes in ([100, 90, 110, 95], [200, 100, 100, 100, 100], [1000, 999]):
+        t = mixing.exponent(sizes, sum(sizes), 4, 0.95)
+        assert share(sizes, 1) > 0.95 and t > 1 and share(sizes, t) == pytest.approx(0.95)
+    # the limit of passes ends it before the target: the large source is at the limit
+    sizes = [110, 100, 100]
+    t = mixing.exponent(sizes, 310, 1.2, 0.5)
+    weights = mixing.tempered([n / 310 for n in sizes], t)
+    assert t > 1 and share(sizes, t) > 0.5 and weights[0] * 310 / 110 == pytest.approx(1.2) and weights[0] * 310 / 110 <= 1.2
+    # nothing to be done: equal sources, one source, a budget beyond the limit
+    assert mixing.exponent([5, 5], 10, 4, 0.9) == 1 and mixing.exponent([5, 7], 120, 4, 0.9) == 1
+    assert mixing.exponent([5], 5, 4, 0.9) == 0 and mixing.exponent([900, 100], 1000, 5.5, None) == 0
+
+
 def test_packing_holds_each_id_once(spark, docs, rows):
     plain = Tokenizer.from_file(WORD)
     want = Counter()
