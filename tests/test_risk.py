@@ -97,7 +97,7 @@ def test_load_report_and_status(spark, pairs, params):
     bad = spark.createDataFrame([(1, 2**20, "A", 1.0), (-1, 0, "A", 1.0)], columns)
     failed = load_report(bad, pairs, *params)
     assert load_status(failed).first() == (1, False)
-    with pytest.raises(ImportFailed, match="piece_id_overflow: 2 rows"):
+    with pytest.raises(ImportFailed, match="piece_id_overflow: 1 rows"):
         require_success(failed)
     wider = load_report(bad.where("element_id > 0"), pairs, *params, piece_bits=24)
     assert load_status(wider).first().success
