@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from hazline.session import Stage
 
-__all__ = ["Stage", "bigint", "read", "slices", "texts", "utf8"]
+__all__ = ["SLICE", "Stage", "bigint", "read", "slices", "texts", "utf8"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -33,6 +33,10 @@ def bigint(name: str) -> T.StructField:
     return T.StructField(name, T.LongType())
 
 
+# bytes of text that are encoded in one step
+SLICE = 6 << 20
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 1 << 20):
     """Row ranges of a batch that hold about `limit` bytes of a column each, so that
     work space per step does not follow the batch; a longer text is a step of its own."""

@@ -5,12 +5,17 @@ text is shuffled and work space is one group. A document longer than a window fi
 whole windows of its own; what is left over, and shorter documents, are the parts of a
 group. Part sizes are differenced: the two partial partitions with the greatest imbalance
 are merged, the largest sums of one onto the smallest of the other, until one k-way
-partition is left. If a window exceeds the capacity, k rises and the group is done again.
+partition is left. If a window exceeds the capacity, more is kept back (below) or k rises, and
+the group is done again.
 
-Differencing levels windows only as finely as its smallest parts, so about an eighteenth of
-a group's tokens is cut to crumbs of 256 down to 8 tokens. What would leave a window nearly
+Differencing levels windows only as finely as its smallest parts, so the longest leftovers, a
+twelfth of the tokens, are kept back: once the rest is differenced, each window is filled up by
+one cut of them (two where one text ends), of some 170 tokens. What would leave a window nearly
 empty is cut off as sequences of a power of two, which need no padding.
 
+Groups follow the input's partitions and row order, so another reading of the same files may
+cut other pieces; each is whole and correct.
+
 Empty and NULL texts are the end id alone. NULL and repeated document ids are rows like any
 other; a partition without rows makes no windows. Each id lies in exactly one piece.
 """
@@ -24,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from hazline.llm.common import bigint, slices, texts
+from hazline.llm.common import SLICE, bigint, slices, texts
 from hazline.llm.tokens import shared_encoder
 
 PIECES = T.StructType(
@@ -81,58 +86,56 @@ def difference(sizes: list[int], k: int) -> tuple[np.ndarray, np.ndarray]:
     return window[:n], totals
 
 
-def crumbs(parts: list[tuple], share: int = 18) -> list[tuple]:
-    """Cuts the largest parts, up to 1/share of the tokens, to pieces of 256 down to 8."""
-    budget = sum(length for _, _, length in parts) // share
-    out, sizes = [], (256, 128, 64, 64, 32, 32, 16, 16, 8, 8, 8)
-    for doc, start, length in sorted(parts, key=lambda p: (-p[2], p[0], p[1])):
-        if budget < length or length < 64:
-            out.append((doc, start, length))
-            continue
-        budget -= length
-        turn = 0
-        while length:
-            take = min(length, sizes[turn % len(sizes)])
-            out.append((doc, start, take))
-            start, length, turn = start + take, length - take, turn + 1
-    return out
+def _cut(texts: list[tuple], need: int) -> list[tuple]:
+    """The next need tokens off the end of a list of (document, start, length) parts."""
+    taken = []
+    while need and texts:
+        doc, start, length = texts.pop()
+        take = min(need, length)
+        taken.append((doc, start, take))
+        if take < length:
+            texts.append((doc, start + take, length - take))
+        need -= take
+    return taken
 
 
-def pack_group(parts: list[tuple], capacity: int, slack: int) -> list[list[tuple]]:
+def pack_group(parts: list[tuple], capacity: int, reserve: int = 12) -> list[list[tuple]]:
     """Windows of (document, start, length) parts; every window within capacity."""
     windows: list[list[tuple]] = []
     total = sum(length for _, _, length in parts)
-    aim = capacity - slack
-    k = total // aim
-    spare = total - k * aim
     parts = sorted(parts, key=lambda p: (p[2], p[0], p[1]))
-    bit = capacity // 2
-    while bit >= 64:  # sequences of a power of two, cut off the longest parts
-        if spare >= bit:
-            window, need = [], bit
-            while need:
-                doc, start, length = parts.pop()
-                take = min(need, length)
-                window.append((doc, start, take))
-                if take < length:
-                    parts.append((doc, start + take, length - take))
-                need -= take
-            windows.append(window)
-            spare -= bit
-        bit //= 2
+    k, spare = divmod(total, capacity)
+    # sequences of a power of two, down to one token where there is no window
+    spare = -(-spare // 64) * 64 if k else spare
+    if spare == capacity:
+        k, spare = k + 1, 0
+    for bit in (1 << n for n in reversed(range(capacity.bit_length() - 1)) if spare >> n & 1):
+        windows.append(_cut(parts, bit))
     if not parts:
         return windows
-    parts = crumbs(parts)
-    total = sum(length for _, _, length in parts)
-    k = max(1, k, -(-total // capacity))
+    parts.sort(key=lambda p: (p[2], p[0], p[1]))
+    least = -(-sum(length for _, _, length in parts) // capacity)
+    k = max(k, least)
+    share = reserve
     while True:
-        at, sums = difference([length for _, _, length in parts], k)
-        if sums.max() <= capacity:
+        # the longest texts are kept back to fill the windows up
+        target, held, kept = k * capacity // share, 0, len(parts)
+        while kept and held < target:
+            kept -= 1
+            held += parts[kept][2]
+        at, sums = difference([length for _, _, length in parts[:kept]], k)
+        if sums.max(initial=0) <= capacity:
             break
-        k += 1
+        if share > 3:
+            share //= 2
+        else:
+            k += 1
     filled: list[list[tuple]] = [[] for _ in range(k)]
-    for part, window in zip(parts, at.tolist(), strict=True):
+    for part, window in zip(parts[:kept], at.tolist(), strict=True):
         filled[window].append(part)
+    rest = parts[kept:]
+    for window, size in sorted(zip(filled, sums.tolist(), strict=True), key=lambda each: -each[1]):
+        window += _cut(rest, capacity - size)
     return windows + [sorted(w) for w in filled if w]
 
 
@@ -143,13 +146,11 @@ def pack(
     end_id: int,
     capacity: int = 2048,
     group_windows: int = 256,
-    slack: int = 10,
     ids: bool = True,
 ) -> DataFrame:
     """Pieces (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids)."""
-    if capacity < 128 or capacity & (capacity - 1) or not 0 <= slack < capacity // 4:
-        raise ValueError("capacity must be a power of two of 128 or more, slack a small part of it")
-    end = np.array([end_id], "<u4").tobytes()
+    if capacity < 128 or capacity & (capacity - 1):
+        raise ValueError("capacity must be a power of two of 128 or more")
     names = [field.name for field in PIECES]
     kinds = pa.schema([(n, pa.binary() if n == "ids" else pa.int64()) for n in names])
 
@@ -183,12 +184,13 @@ def pack(
             return made
 
         for batch in batches:
-            for first, last in slices(batch):
+            for first, last in slices(batch, limit=SLICE):
                 piece = batch.slice(first, last - first)
-                coded = encoder.encode(piece.column("text").to_pylist())
-                for doc, data in zip(piece.column("doc_id").to_pylist(), coded, strict=True):
-                    held[turn] = doc, data + end
-                    n = len(data) // 4 + 1
+                coded, bounds = encoder.encode_column(piece.column("text"), end_id)
+                bounds = bounds.tolist()
+                for row, doc in enumerate(piece.column("doc_id").to_pylist()):
+                    n = bounds[row + 1] - bounds[row]
+                    held[turn] = doc, coded[bounds[row] : bounds[row + 1]].tobytes()
                     whole = n - n % capacity
                     for start in range(0, whole, capacity):
                         place([(turn, start, capacity)])
@@ -199,13 +201,13 @@ def pack(
                         del held[turn]
                     turn += 1
                     if waiting >= group_windows * capacity:
-                        for window in pack_group(parts, capacity, slack):
+                        for window in pack_group(parts, capacity):
                             place(window)
                         parts, held, waiting = [], {}, 0
                         yield flush()
                 if len(rows) > 4096 or ids:
                     yield flush()
-        for window in pack_group(parts, capacity, slack) if parts else []:
+        for window in pack_group(parts, capacity) if parts else []:
             place(window)
         yield flush()
 

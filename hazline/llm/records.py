@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hazline.llm.common import Stage, bigint, slices, texts
+from hazline.llm.common import SLICE, Stage, bigint, slices, texts
 from hazline.llm.tokens import shared_encoder
 
 # Fixed values of the file format.
@@ -84,7 +84,7 @@ def unframe(data: bytes) -> bytes:
     return payload
 
 
-def payload_of(doc: int | None, ids: bytes) -> bytes:
+def payload_of(doc: int | None, ids: bytes | np.ndarray) -> bytes:
     """ids: little-endian unsigned 32-bit integers."""
     values = np.frombuffer(ids, "<u4")
     width = 2 if values.max(initial=0) < 1 << 16 else 4
@@ -108,7 +108,6 @@ def write_records(
     docs: DataFrame, folder: str, tokenizer: str, split: str, end_id: int, partitions: int
 ) -> DataFrame:
     """Index rows of the files written; evaluate once and store (`write_indexed` does)."""
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         store, root = _open(folder)
@@ -120,18 +119,22 @@ def write_records(
         out = None
         try:
             for batch in batches:
-                for first, last in slices(batch):
+                for first, last in slices(batch, limit=SLICE):
                     piece = batch.slice(first, last - first)
                     rows = {field.name: [] for field in INDEX}
-                    coded = encoder.encode(piece.column("text").to_pylist())
-                    for doc, ids in zip(piece.column("doc_id").to_pylist(), coded, strict=True):
-                        data = frame(payload_of(doc, ids + end))
-                        out = out or store.open_output_stream(f"{root}/{name}")
-                        out.write(data)
-                        n = len(ids) // 4 + 1
-                        for key, value in zip(rows, (doc, name, part, at, len(data), before, n), strict=True):
+                    ids, bounds = encoder.encode_column(piece.column("text"), end_id)
+                    bounds = bounds.tolist()
+                    frames = []
+                    for row, doc in enumerate(piece.column("doc_id").to_pylist()):
+                        body = ids[bounds[row] : bounds[row + 1]]
+                        data = frame(payload_of(doc, body))
+                        frames.append(data)
+                        values = (doc, name, part, at, len(data), before, len(body))
+                        for key, value in zip(rows, values, strict=True):
                             rows[key].append(value)
-                        at, before = at + len(data), before + n
+                        at, before = at + len(data), before + len(body)
+                    out = out or store.open_output_stream(f"{root}/{name}")
+                    out.write(b"".join(frames))
                     yield pa.RecordBatch.from_pydict(rows, schema=_arrow(INDEX))
         finally:
             if out:
