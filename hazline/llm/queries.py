@@ -6,9 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hazline.llm.alignment import align_corpus
 from hazline.llm.classifier import classify
 from hazline.llm.common import read
 from hazline.llm.disclosure import BASE, protect
+from hazline.llm.manifest import manifest
 from hazline.llm.mixing import mix
 from hazline.llm.neardup import near_duplicates
 from hazline.llm.packing import pack
@@ -17,6 +19,7 @@ from hazline.llm.rules import quality_rules
 from hazline.llm.search import top_k
 from hazline.llm.sharding import shard_rows
 from hazline.llm.substrings import remove_repeats
+from hazline.llm.urlrules import judge_urls
 from hazline.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +140,117 @@ def op10_sharding(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"),
         "source",
     )
+
+
+@query()
+def op11_alignment(spark, sf_dir):
+    """Groups, links and corpus-wide link counts of two tokenizers over all documents."""
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align_corpus(spark, read(spark, sf_dir, "documents"), *paths)
+
+
+# The rules that the query applies.
+URL_RULES = [
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "block"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+]
+
+URL_SQL = """
+WITH rules(rule, host, path, verdict) AS (VALUES
+  ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
+  ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'),
+  ('com/de/', 'com', '/de/', 'block')),
+rests AS (
+  SELECT row_number() OVER () AS n, page_id,
+    CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+parts AS (
+  SELECT n, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rests),
+best AS (
+  SELECT p.n, arg_max(r.rule, length(r.rule)) AS rule, arg_max(r.verdict, length(r.rule)) AS verdict
+  FROM parts p JOIN rules r
+    ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+  GROUP BY p.n)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM parts LEFT JOIN best USING (n)
+"""
+
+
+@query(URL_SQL)
+def op12_url_filters(spark, sf_dir):
+    """Host, path, longest rule and verdict of the url of every page."""
+    return judge_urls(spark, read(spark, sf_dir, "pages"), URL_RULES)
+
+
+# crc32 of a decimal id, bit by bit; tampering, as in the query, deletes line ends of even ones
+MERKLE_SQL = """
+WITH RECURSIVE crcs AS (
+  SELECT DISTINCT doc_id, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(
+      list_prepend(xor(crc, byte), [0, 1, 2, 3, 4, 5, 6, 7]::BIGINT[]),
+      lambda x, bit: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END)) AS crc
+  FROM documents),
+fields AS (
+  SELECT d.doc_id, d.source,
+    CASE WHEN xor(c.crc, 4294967295::BIGINT) % 2 = 0 THEN replace(d.text, chr(10), '') ELSE d.text END AS now,
+    d.text,
+    coalesce(strlen(d.doc_id::VARCHAR) || ':' || d.doc_id::VARCHAR, '-') ||
+    coalesce(strlen(d.source) || ':' || d.source, '-') ||
+    coalesce(strlen(d.lang) || ':' || d.lang, '-') ||
+    coalesce(strlen(d.n_chars::VARCHAR) || ':' || d.n_chars::VARCHAR, '-') AS head
+  FROM documents d JOIN crcs c ON c.doc_id IS NOT DISTINCT FROM d.doc_id),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM (
+    SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+      sha256(head || coalesce(strlen(now) || ':' || now, '-')) AS current FROM fields)),
+up AS (
+  SELECT source, 0 AS lvl, pos AS i, leaf AS h FROM leaves
+  UNION ALL
+  SELECT source, lvl + 1, i // 3, sha256(string_agg(h, '' ORDER BY i))
+  FROM (SELECT *, count(*) OVER (PARTITION BY source) AS n FROM up) WHERE n > 1 GROUP BY source, lvl, i // 3),
+subs AS (
+  SELECT source, arg_max(h, lvl) AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos
+  FROM up GROUP BY source),
+top AS (
+  SELECT 0 AS lvl, pos AS i, subroot AS h FROM subs
+  UNION ALL
+  SELECT lvl + 1, i // 3, sha256(string_agg(h, '' ORDER BY i))
+  FROM (SELECT *, count(*) OVER () AS n FROM top) WHERE n > 1 GROUP BY lvl, i // 3),
+root AS (SELECT arg_max(h, lvl) AS root, max(lvl) AS height FROM top),
+heights AS (SELECT source, max(lvl) AS height FROM up GROUP BY source),
+low AS (
+  SELECT l.doc_id, l.leaf, l.source, 0 AS lvl, l.pos AS i, l.current AS h, '' AS proof FROM leaves l
+  UNION ALL
+  SELECT w.doc_id, w.leaf, w.source, w.lvl + 1, w.i // 3,
+    sha256(string_agg(CASE WHEN u.i = w.i THEN w.h ELSE u.h END, '' ORDER BY u.i)),
+    w.proof || coalesce(string_agg(u.h, '' ORDER BY u.i) FILTER (u.i <> w.i), '')
+  FROM low w JOIN heights t ON t.source IS NOT DISTINCT FROM w.source AND w.lvl < t.height
+    JOIN up u ON u.source IS NOT DISTINCT FROM w.source AND u.lvl = w.lvl AND u.i // 3 = w.i // 3
+  GROUP BY w.doc_id, w.leaf, w.source, w.lvl, w.i, w.h, w.proof),
+high AS (
+  SELECT w.doc_id, w.leaf, s.subroot, 0 AS lvl, s.pos AS i, w.h, w.proof
+  FROM low w JOIN heights t ON t.source IS NOT DISTINCT FROM w.source AND w.lvl = t.height
+    JOIN subs s ON s.source IS NOT DISTINCT FROM w.source
+  UNION ALL
+  SELECT w.doc_id, w.leaf, w.subroot, w.lvl + 1, w.i // 3,
+    sha256(string_agg(CASE WHEN u.i = w.i THEN w.h ELSE u.h END, '' ORDER BY u.i)),
+    w.proof || coalesce(string_agg(u.h, '' ORDER BY u.i) FILTER (u.i <> w.i), '')
+  FROM high w JOIN root r ON w.lvl < r.height JOIN top u ON u.lvl = w.lvl AND u.i // 3 = w.i // 3
+  GROUP BY w.doc_id, w.leaf, w.subroot, w.lvl, w.i, w.h, w.proof)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, h AS folded_root, h = root AS verified
+FROM high JOIN root ON lvl = height
+"""
+
+
+@query(MERKLE_SQL)
+def op13_manifest(spark, sf_dir):
+    """Leaf, roots, proof and verification of every document; even ids' texts have lost their line ends."""
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    now = F.when(even, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return manifest(spark, read(spark, sf_dir, "documents"), now)
