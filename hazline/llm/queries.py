@@ -103,20 +103,24 @@ def op8_packing(spark, sf_dir):
 
 SEARCH_SQL = """
 WITH whole AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)::BIGINT) AS v
+  SELECT row_number() OVER () AS n, vec_id,
+    list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)::BIGINT) AS v
   FROM embeddings
-  WHERE embedding IS NOT NULL
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))
 ),
+query AS (
+  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY v) AS copy FROM whole WHERE vec_id % 50 = 0
+),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1),
+  SELECT q.n, q.copy, q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1),
          lambda i: q.v[i] * c.v[i]))::BIGINT AS score
-  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+  FROM query q JOIN whole c ON q.n <> c.n AND len(q.v) = len(c.v)
 ),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
+  SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS place FROM scored
 )
-SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 5
+SELECT query_id, copy::INTEGER AS query_copy, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 5
 """
 
 
