@@ -15,9 +15,8 @@ Proofs run the other way: the siblings above a block's root are found once per b
 block above it, and each document's proof is those in its own block followed by them. Every
 proof is folded again from the document's leaf as it is now, and the result held against the root.
 
-Positions come from a range partitioning by tree and order: each partition is numbered on its
-own and the counts of the partitions before it are added, so one source with a third of all rows
-is spread like any other data. Texts are hashed where they are read and never shuffled.
+Positions come from a range partitioning by tree and order (`ranks`), so one source with a third
+of all rows is spread like any other data. Texts are hashed where they are read and never shuffled.
 
 NULL fields hash as "-", an empty text as "0:", so they differ. Rows that repeat an id are leaves
 of their own. A source with one row is its own subroot; a table with one row its own root. An
@@ -29,11 +28,12 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazline.llm.common import Stage, bigint
+from hazline.llm.ranks import positions
 
 ARITY, HEIGHT, DIGEST = 3, 6, 32
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -169,29 +169,6 @@ def leaf_hash(text: Column | None = None) -> Column:
     return F.unhex(F.sha2(F.concat(*parts), 256))
 
 
-def positions(stage: Stage, name: str, rows: DataFrame, order: list[str]) -> DataFrame:
-    """The rows, stored, with `at` (0 to n - 1 within their tree, in the given order) and n."""
-    held = stage.put(
-        name,
-        rows.repartitionByRange("tree", *order)
-        .sortWithinPartitions("tree", *order)
-        .withColumn("line", F.monotonically_increasing_id())
-        .withColumn("part", F.spark_partition_id()),
-    )
-    # a row per tree and partition that holds some of it
-    runs = held.groupBy("tree", "part").agg(F.min("line").alias("first"), F.count("*").alias("n_run"))
-    before = Window.partitionBy("tree").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = runs.select(
-        "tree",
-        "part",
-        "first",
-        F.coalesce(F.sum("n_run").over(before), F.lit(0)).alias("past"),
-        F.sum("n_run").over(Window.partitionBy("tree")).alias("n"),
-    )
-    at = (F.col("line") - F.col("first") + F.col("past")).alias("at")
-    return held.join(starts, ["tree", "part"]).select(*rows.columns, at, "n")
-
-
 def _arrow(schema: T.StructType) -> pa.Schema:
     kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
     return pa.schema([(f.name, kinds[f.dataType.simpleString()]) for f in schema])
@@ -382,12 +359,12 @@ def manifest(
         (leaf if now is None else leaf_hash(now)).alias("current"),
     )
     rows = stage.put("hashed", rows)
-    placed = positions(stage, "placed", rows, ["doc_id", "digest", "current"])
+    placed = positions(stage, "placed", rows, "tree", ["doc_id", "digest", "current"])
     leaves = stage.put("leaves", placed)
     rounds, subroots = forest(stage, "source", leaves.select("tree", "at", "n", "digest"), height)
 
     names = subroots.select(F.lit("").alias("tree"), F.col("tree").alias("name"), F.col("root").alias("digest"))
-    ordered = stage.put("sources", positions(stage, "names", names, ["name"]))
+    ordered = stage.put("sources", positions(stage, "names", names, "tree", ["name"]))
     upper, roots = forest(stage, "sources", ordered.select("tree", "at", "n", "digest"), height)
     top = roots.select("root").collect()  # one row, none for an empty table
     root = F.lit(top[0][0].hex() if top else None).cast("string")

@@ -5,41 +5,19 @@ Rows of each source get a seeded random order; the row of rank r among n rows st
 rows. So any shard holds each source's rows within one of its share, and row counts differ
 by one at most (the `rows` law).
 
-A rank needs no sort of a whole source: seeded hashes are uniform, so equal slices of the
-hash range ("cells") hold about equally many rows. Ranks are counted inside a cell and
-shifted by the counts of the cells before; only the counts, one row per source and cell,
-are summed in order. The same is done for positions on the common line. The number of cells
-follows the row count. Texts travel in no shuffle.
+Ranks in a source and on the common line come from range partitionings (`ranks`), so neither
+a large source nor many small ones, whose rows share few places on the line, end up in one task;
+rows at one place follow their draw. Texts travel in no shuffle.
 
 NULL sources form a source of their own, NULL texts count as no bytes, rows that repeat an
 id are ordered by checksum and size and get a slot each, an empty table gives no rows.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazline.llm.common import Stage
-
-ROWS_PER_CELL = 512
-
-
-def _ranked(rows: DataFrame, group: str | None, cell: str, order: list) -> DataFrame:
-    """Adds 0-based `rank` in (cell, order) within group, from cell-wise ranks and cell counts."""
-    keys = [group, cell] if group else [cell]
-    # dealt by all keys: rows already dealt by the group alone would lie in one task per group
-    rows = rows.repartition(*keys)
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("n"))
-    past = Window.partitionBy(*keys[:-1]).orderBy(cell)
-    past = past.rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select(*keys, F.coalesce(F.sum("n").over(past), F.lit(0)).alias("before"))
-    inside = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
-    return (
-        rows.withColumn("inside", inside)
-        .join(before, keys)
-        .withColumn("rank", F.col("before") + F.col("inside"))
-        .drop("inside", "before")
-    )
-
+from hazline.llm.ranks import positions
 
 def shard_rows(
     spark: SparkSession,
@@ -62,30 +40,19 @@ def shard_rows(
         .alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
     ).withColumn("draw", F.xxhash64(F.lit(seed), "stratum", "doc_id", "text_crc32"))
-    slim = stage.put("slim", slim)
-    total = slim.count()
-    cells = max(1, total // ROWS_PER_CELL)
-    sizes = slim.groupBy("stratum").agg(F.count("*").alias("of"))
-    ties = ["draw", F.col("doc_id").asc_nulls_first(), "text_crc32", "size"]
-    # hash / 2^64 is uniform on [-1/2, 1/2): a cell is a slice of the hash range
-    own = F.greatest(F.lit(1).cast("long"), F.floor(F.col("of") / ROWS_PER_CELL))
-    slice_of = F.floor((F.col("draw") / F.lit(2.0**64) + 0.5) * own).cast("long")
-    sized = slim.join(sizes, "stratum").withColumn("cell", slice_of)
-    ranked = _ranked(sized, "stratum", "cell", ties)
-    place = (2 * F.col("rank") + 1) / (2 * F.col("of"))
-    line = ranked.withColumn("place", place)
-    line = stage.put("line", line.drop("cell", "rank", "of"))
-    along = F.floor(F.col("place") * cells).cast("long")
-    order = ["place", "stratum", *ties]
-    placed = _ranked(line.withColumn("cell", along), None, "cell", order)
-    # in integers: shard k starts at row ceil(k * total / shards)
-    shard = F.expr(f"(rank * {shards}L) div {max(1, total)}L")
-    start = F.expr(f"(shard * {total}L + {shards - 1}L) div {shards}L")
+    ties = ["draw", "doc_id", "text_crc32", "size"]
+    own = positions(stage, "own", stage.put("slim", slim), "stratum", ties)
+    place = ((2 * F.col("at") + 1) / (2 * F.col("n"))).alias("place")
+    line = own.select(*slim.columns, place, F.lit(0).alias("line_no"))
+    placed = positions(stage, "line", line, "line_no", ["place", "draw", "stratum", *ties[1:]])
+    # in integers: shard k starts at row ceil(k * n / shards)
+    shard = F.expr(f"(at * {shards}L) div n")
+    start = F.expr(f"(shard * n + {shards - 1}L) div {shards}L")
     return placed.withColumn("shard", shard).select(
         "doc_id",
         F.when(F.col("stratum") != "-", F.expr("substr(stratum, 2)")).alias("source"),
         "size",
         "text_crc32",
         F.col("shard").cast("int").alias("shard"),
-        (F.col("rank") - start).alias("slot"),
+        (F.col("at") - start).alias("slot"),
     )
