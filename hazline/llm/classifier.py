@@ -75,7 +75,11 @@ class Ftrl:
 def train(
     docs: DataFrame, labels: DataFrame, label: str, usable: Column, bits=18, max_rows=8000, epochs=3
 ) -> tuple[np.ndarray, float]:
-    """Weights and bias from labelled documents for which `usable` (over doc_id) holds."""
+    """Weights and bias from labelled documents for which `usable` (over doc_id) holds.
+
+    Of several labels of an id the least counts, of several texts the one of the least digest, so
+    the same tables give the same weights however they are partitioned.
+    """
     marked = labels.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")
     )
@@ -96,8 +100,10 @@ def train(
                     names=["draw", "label", "hits"],
                 )
 
-    used = texts(docs).join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
-    rows = used.select("text", "draw", "label").mapInArrow(features, FEATURES)
+    digest = F.md5(F.col("text").cast("binary")).alias("digest")
+    used = texts(docs).join(F.broadcast(sample), "doc_id").groupBy("doc_id", "draw", "label")
+    used = used.agg(F.min(F.struct(digest, "text")).alias("least"))
+    rows = used.select("least.text", "draw", "label").mapInArrow(features, FEATURES)
 
     def fit(table: pa.Table) -> pa.Table:
         table = table.sort_by([("draw", "ascending")])
