@@ -249,8 +249,9 @@ def node_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 def near_duplicates(
     spark: SparkSession, docs: DataFrame, tenths: int = 8, stage: Stage | None = None
 ) -> DataFrame:
-    """doc_id, class_id (the class's smallest doc_id), class_rows, n_texts, and the digests
-    (node of the text, root of the class) of every row."""
+    """doc_id, class_id (the class's smallest doc_id), class_rows, n_texts, n_links (pairs of
+    different texts of the class that were compared and found alike), and the digests (node of the
+    text, root of the class) of every row."""
     stage = stage or Stage(spark)
     signed = stage.put("signed", sign(docs))
     nodes = signed.groupBy("node").agg(
@@ -281,14 +282,17 @@ def near_duplicates(
     if not more.isEmpty():
         parts = stage.put("parts", components(stage, links.union(more)))
 
+    held = links.union(more).select(F.col("a").alias("node")).join(parts, "node")
+    held = held.groupBy("root").agg(F.count("*").alias("n_links"))
     classes = nodes.select("node", "least", "copies").join(parts, "node", "left")
     classes = classes.withColumn("root", F.coalesce("root", "node"))
     named = classes.groupBy("root").agg(
         F.min("least").alias("class_id"), F.sum("copies").alias("class_rows"), F.count("*").alias("n_texts")
     )
+    named = named.join(held, "root", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
     named = classes.select("node", "root").join(named, "root")
     return signed.select("doc_id", "node").join(named, "node").select(
-        "doc_id", "class_id", "class_rows", "n_texts", "node", "root"
+        "doc_id", "class_id", "class_rows", "n_texts", "n_links", "node", "root"
     )
 
 
@@ -299,10 +303,12 @@ def keep_one(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     kept = found.groupBy("root").agg(F.min(order).alias("row")).select(
         F.col("row.node").alias("kept_node"), F.col("row.doc_id").alias("kept_id")
     )
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = docs.withColumn("kept_node", F.unhex(F.md5(text.cast("binary"))))
-    keyed = keyed.withColumn("kept_key", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")))
+    # columns by number, so that no name of the user's meets those of the keys
+    inner = docs.toDF(*[f"c{n}" for n in range(len(docs.columns))])
+    own, text = (F.col(f"c{docs.columns.index(name)}").cast("string") for name in ("doc_id", "text"))
+    keyed = inner.withColumn("kept_node", F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary"))))
+    keyed = keyed.withColumn("kept_key", F.coalesce(own, F.lit("-")))
     kept = kept.select("kept_node", F.coalesce(F.col("kept_id").cast("string"), F.lit("-")).alias("kept_key"))
     # repeated rows of one id and text come down to one here, on the keys of the join
     one = keyed.join(kept, ["kept_node", "kept_key"]).dropDuplicates(["kept_node", "kept_key"])
-    return one.select(docs.columns)
+    return one.select(inner.columns).toDF(*docs.columns)
