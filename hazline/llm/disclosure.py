@@ -13,6 +13,9 @@ names, handles, customer and account numbers are words as they stand; a hyphen,
 apostrophe parts words, and a run of a script without spaces is one word. Words that touch an entity are
 no terms and do not count towards `reach`; the words of anything else, such as a URL, do.
 
+Entities are compared in one spelling: e-mail addresses in lower case, card and phone numbers
+by their digits. Secrets are known forms of keys (`SECRET`); add others there.
+
 Only documents with entities give (entity, term) pairs, in proportion to their entities. Words
 are counted in the whole corpus only where a filter of fixed size (2^20 bits) says
 that they may be such a term; what it lets through in vain is dropped by the join that
@@ -43,7 +46,12 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-SECRET = re.compile(r"AKIA[0-9A-Z]{16}|\b(?:password|passwd|secret|token|api_key)=[^\s]+")
+SECRET = re.compile(
+    r"AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}"
+    r"|eyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]{8,}|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
+    r"|\b(?:password|passwd|secret|token|api_key)=[^\s]+"
+)
+SECRET_SIGNS = ("AKIA", "=", "gh", "xox", "sk_live_", "eyJ", "PRIVATE KEY")
 BASE = ("email", "ip", "card", "phone")
 WORD = re.compile(r"\w+")
 BITS = 20
@@ -115,7 +123,23 @@ def key(text: str) -> int:
 
 
 def secret_spans(text: str) -> list[tuple[int, int]]:
-    return [m.span() for m in SECRET.finditer(text)] if "AKIA" in text or "=" in text else []
+    return [m.span() for m in SECRET.finditer(text)] if any(s in text for s in SECRET_SIGNS) else []
+
+
+def entity_key(kind: str, text: str) -> int:
+    """The entity whatever its spelling."""
+    if kind == "email":
+        text = text.lower()
+    elif kind in ("card", "phone"):
+        text = "".join(c for c in text if "0" <= c <= "9")
+    return key(f"{kind}:{text}")
+
+
+def entities_of(text: str) -> list[tuple[int, int, int]]:
+    """(first, last, entity) of all base spans and secrets, in order."""
+    spans = {**base_spans(text), "secret": secret_spans(text)}
+    found = {(a, b, entity_key(kind, text[a:b])) for kind, own in spans.items() for a, b in own}
+    return sorted(found)
 
 
 def free_words(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -130,14 +154,13 @@ def free_words(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]
     return out
 
 
-def near_terms(text: str, spans: list[tuple[int, int]], reach: int) -> set[tuple[int, int]]:
+def near_terms(text: str, found: list[tuple[int, int, int]], reach: int) -> set[tuple[int, int]]:
     """(entity, term) of the `reach` words before and after each entity, however far they stand."""
-    words = free_words(text, spans)
+    words = free_words(text, [(a, b) for a, b, _ in found])
     starts = [a for a, _ in words]
     terms = [key(text[a:b].lower()) for a, b in words]
     out = set()
-    for first, last in spans:
-        entity = key(text[first:last])
+    for first, _, entity in found:
         at = bisect_left(starts, first)  # no free word starts within the entity
         out.update((entity, term) for term in terms[max(0, at - reach) : at + reach])
     return out
@@ -165,7 +188,7 @@ def find(docs: DataFrame, reach: int) -> DataFrame:
                     spans = base_spans(text)
                     base = [s for kind in BASE for s in listed(kind, spans[kind])]
                     secret = secret_spans(text)
-                    every = sorted({s for kind in BASE for s in spans[kind]} | set(secret))
+                    every = entities_of(text) if secret or any(spans.values()) else []
                     near = sorted(near_terms(text, every, reach)) if every else []
                     rows.append(
                         {
@@ -176,7 +199,7 @@ def find(docs: DataFrame, reach: int) -> DataFrame:
                             "base_sha256": hashlib.sha256(",".join(base).encode()).hexdigest(),
                             "secrets": ",".join(listed("secret", secret)),
                             "near": [{"entity": e, "term": t} for e, t in near],
-                            "entities": sorted({key(text[a:b]) for a, b in every}),
+                            "entities": sorted({entity for *_, entity in every}),
                         }
                     )
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
@@ -268,16 +291,16 @@ def marks(docs: DataFrame, bits: bytes) -> DataFrame:
                 piece = batch.slice(first, last - first)
                 rows = []
                 for doc, text in zip(piece.column("doc_id").to_pylist(), piece.column("text").to_pylist(), strict=True):
-                    every = sorted({s for spans in base_spans(text).values() for s in spans} | set(secret_spans(text)))
+                    every = entities_of(text)
                     if not every:
                         continue
                     places = defaultdict(list)
-                    for a, b in free_words(text, every):
+                    for a, b in free_words(text, [(a, b) for a, b, _ in every]):
                         places[text[a:b].lower()].append({"first": a, "last": b})
                     words = list(places)
                     terms = np.array([key(word) for word in words], np.int64)
                     text_key = key(text)
-                    for entity in sorted({key(text[a:b]) for a, b in every}):
+                    for entity in sorted({entity for *_, entity in every}):
                         at = (terms ^ np.int64(entity)) & mask
                         maybe = cells[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)
                         for n in np.flatnonzero(maybe):
@@ -345,23 +368,28 @@ def sanitise(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
         F.col("doc_id").alias("span_id"), F.col("text_key").alias("span_key"), "spans"
     ).distinct()
 
+    # columns by number, so that no name of the user's meets those of the keys
+    inner = docs.toDF(*[f"c{n}" for n in range(len(docs.columns))])
+    text_at, own_id = (docs.columns.index(name) for name in ("text", "doc_id"))
+    field = inner.schema[text_at]
+
     def keys(batches):
         for batch in batches:
-            found = [key(text or "") for text in batch.column("text").to_pylist()]
+            found = [key(text or "") for text in batch.column(text_at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=[*batch.schema.names, "own_key"])
 
     def run(batches):
         for batch in batches:
-            at = batch.schema.get_field_index("text")
-            rows = zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True)
-            made = pa.array([replace_spans(t, s) if t and s else t for t, s in rows], batch.schema.field(at).type)
-            yield batch.drop_columns(["spans"]).set_column(at, batch.schema.field(at), made)
-
-    columns = docs.columns
-    keyed = docs.mapInArrow(keys, T.StructType([*docs.schema.fields, bigint("own_key")]))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("span_id")) & (F.col("own_key") == F.col("span_key"))
-    joined = keyed.join(spans, same, "left").select(*columns, "spans")
-    clean = joined.mapInArrow(run, docs.schema)
-    if "n_chars" in columns:
-        clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return clean
+            rows = zip(batch.column(text_at).to_pylist(), batch.column("spans").to_pylist(), strict=True)
+            made = [replace_spans(t, s) if t and s else t for t, s in rows]
+            old = batch.schema.field(text_at)
+            yield batch.drop_columns(["spans"]).set_column(text_at, old, pa.array(made, old.type))
+
+    keyed = inner.mapInArrow(keys, T.StructType([*inner.schema.fields, bigint("own_key")]))
+    same = F.col(f"c{own_id}").cast("long").eqNullSafe(F.col("span_id")) & (F.col("own_key") == F.col("span_key"))
+    joined = keyed.join(spans, same, "left").select(*inner.columns, "spans")
+    clean = joined.mapInArrow(run, inner.schema)
+    if "n_chars" in docs.columns:
+        count = f"c{docs.columns.index('n_chars')}"
+        clean = clean.withColumn(count, F.length(field.name).cast(docs.schema["n_chars"].dataType))
+    return clean.toDF(*docs.columns)
