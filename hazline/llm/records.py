@@ -98,10 +98,17 @@ def parts_of(payload: bytes) -> tuple[int | None, bytes]:
 
 
 def _open(folder: str):
-    """File system and path of a folder that all executors reach (local mount or object store)."""
+    """File system and path of a folder's URI, with the scheme as Arrow names it."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(folder) if ":/" in folder else (fs.LocalFileSystem(), folder)
+    scheme, rest = folder.split(":", 1)
+    return fs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + ":" + rest)
+
+
+def whole_uri(stage: Stage) -> str:
+    """The stage's folder with its scheme, as Spark resolves it: a path without one may lie in a store."""
+    marker = stage.put("place", stage.spark.range(1))
+    return marker.inputFiles()[0].rsplit("/", 2)[0]
 
 
 def write_records(
@@ -155,8 +162,9 @@ def write_indexed(
     """Writes record files and the offset index under `folder`; returns the stored index."""
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     stage = Stage(spark, folder)
-    index = write_records(docs, f"{stage.root}/records", tokenizer, split, end_id, partitions)
-    return stage.put("index", index).withColumn("folder", F.lit(f"{stage.root}/records"))
+    records = f"{whole_uri(stage)}/records"
+    index = write_records(docs, records, tokenizer, split, end_id, partitions)
+    return stage.put("index", index).withColumn("folder", F.lit(records))
 
 
 def read_records(index: DataFrame, ids: bool = True) -> DataFrame:
