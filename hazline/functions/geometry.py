@@ -6,11 +6,10 @@ of rings. Holes and further parts are further rings (even-odd rule).
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Cell lists are widened by this share of a cell, so that rounding can only add cells.
 CELL_SLACK = 1e-6
-# A segment longer than this many cells is numbered in parts (see operators.pieces).
-PART_CELLS = 64
 
 
 def _distinct_steps(points: Column) -> Column:
@@ -23,37 +22,47 @@ def _distinct_steps(points: Column) -> Column:
     )
 
 
+def is_multipart(df: DataFrame, geom="geom") -> bool:
+    """Whether lines are arrays of parts rather than single vertex arrays."""
+    return isinstance(df.schema[geom].dataType.elementType, T.ArrayType)
+
+
+def parts_of(df: DataFrame, geom="geom") -> str:
+    """SQL for the parts of each line, NULL parts left out; NULL where there is no geometry."""
+    if is_multipart(df, geom):
+        return f"filter({geom}, part -> part IS NOT NULL)"
+    return f"if({geom} IS NULL, NULL, array({geom}))"
+
+
 def segments(elements: DataFrame, id_col="element_id", geom="geom") -> DataFrame:
-    """One row per segment of positive length: eid, reach, n_seg, sn (dense from 0), x1..y2.
+    """One row per segment of positive length: eid, n_seg, sn, part_no, x1..y2.
 
-    reach is the extent of the element's longest segment. The geometry lies in one
-    row, so numbering needs no shuffle.
+    sn is dense from 0 over all parts of a line; part_first and part_last mark the ends of a
+    part. The geometry lies in one row, so numbering needs no shuffle.
     """
-    lines = elements.select(
-        F.col(id_col).cast("bigint").alias("eid"), _distinct_steps(F.col(geom)).alias("pts")
-    )
-    n_seg = F.greatest(F.size("pts") - 1, F.lit(0))
-    extents = F.transform(
-        "pts",
-        lambda p, i: F.greatest(
-            F.abs(F.get(F.col("pts"), i + 1)["x"] - p["x"]),
-            F.abs(F.get(F.col("pts"), i + 1)["y"] - p["y"]),
+    parts = F.transform(F.expr(parts_of(elements, geom)), _distinct_steps)
+    of_part = F.transform(
+        "parts",
+        lambda pts, part: F.transform(
+            F.slice(pts, F.lit(1), F.greatest(F.size(pts) - 1, F.lit(0))),
+            lambda p, i: F.struct(
+                part.cast("int").alias("part_no"),
+                (i == 0).alias("part_first"),
+                (i == F.size(pts) - 2).alias("part_last"),
+                p["x"].alias("x1"),
+                p["y"].alias("y1"),
+                F.get(pts, i + 1)["x"].alias("x2"),
+                F.get(pts, i + 1)["y"].alias("y2"),
+            ),
         ),
     )
-    rows = F.transform(
-        F.slice("pts", F.lit(1), n_seg),
-        lambda p, i: F.struct(
-            i.alias("sn"),
-            p["x"].alias("x1"),
-            p["y"].alias("y1"),
-            F.get(F.col("pts"), i + 1)["x"].alias("x2"),
-            F.get(F.col("pts"), i + 1)["y"].alias("y2"),
-        ),
+    lines = elements.select(F.col(id_col).cast("bigint").alias("eid"), parts.alias("parts")).select(
+        "eid", F.flatten(of_part).alias("segs")
     )
     # per-element values first, so that the vertex array is not copied to every segment
-    return lines.select(
-        "eid", "pts", n_seg.alias("n_seg"), F.array_max(extents).alias("reach")
-    ).select("eid", "n_seg", "reach", F.inline(rows))
+    return lines.select("eid", F.size("segs").alias("n_seg"), F.posexplode("segs").alias("sn", "seg")).select(
+        "eid", "n_seg", "sn", "seg.*"
+    )
 
 
 def edges(zones: DataFrame, id_col="zone_id", geom="geom") -> DataFrame:
@@ -120,12 +129,13 @@ def _columns_in_row(g: str, eps: str) -> tuple[str, str]:
     )
 
 
-def explode_rows(df: DataFrame, cell: str) -> DataFrame:
+def explode_rows(df: DataFrame, cell: str, slack: float = 0.0) -> DataFrame:
     """One row per grid row met by the segment: adds gy and the column range gx_a..gx_b.
 
-    cell is the cell size, a SQL literal or column.
+    cell is the cell size, a SQL literal or column. With slack, cells within that distance
+    count as met.
     """
-    eps = f"({cell} * {dbl(CELL_SLACK)})"
+    eps = f"greatest({cell} * {dbl(CELL_SLACK)}, {dbl(slack)})"
     first = f"floor((least(y1, y2) - {eps}) / {cell})"
     last = f"floor((greatest(y1, y2) + {eps}) / {cell})"
     span = df.withColumn("gy", F.expr(f"explode(sequence({first}, {last}))"))
@@ -133,18 +143,18 @@ def explode_rows(df: DataFrame, cell: str) -> DataFrame:
     return span.withColumn("gx_a", F.expr(gx_a)).withColumn("gx_b", F.expr(gx_b))
 
 
-def explode_cells(df: DataFrame, size: float) -> DataFrame:
+def explode_cells(df: DataFrame, size: float, slack: float = 0.0) -> DataFrame:
     """One row per grid cell met by the segment (gx, gy); linear in the segment's length."""
     return (
-        explode_rows(df, dbl(size))
+        explode_rows(df, dbl(size), slack)
         .withColumn("gx", F.expr("explode(sequence(gx_a, gx_b))"))
         .drop("gx_a", "gx_b")
     )
 
 
-def explode_sub_cells(df: DataFrame, size: float) -> DataFrame:
+def explode_sub_cells(df: DataFrame, size: float, slack: float = 0.0) -> DataFrame:
     """Replaces cell (gx, gy) by the 2^k by 2^k cells of it that the segment meets."""
-    cell, eps = f"({dbl(size)} / shiftleft(1, k))", dbl(size * CELL_SLACK)
+    cell, eps = f"({dbl(size)} / shiftleft(1, k))", dbl(max(size * CELL_SLACK, slack))
     rows = (
         df.withColumnsRenamed({"gx": "bx", "gy": "by"})
         .withColumn("lo", F.expr(f"greatest(floor((least(y1, y2) - {eps}) / {cell}), shiftleft(by, k))"))

@@ -1,9 +1,17 @@
-"""Where boundaries cut the element segments."""
+"""Where boundaries cut the element segments, exactly or within a coordinate tolerance.
 
-from pyspark.sql import DataFrame
+With a tolerance, a boundary cuts a segment that it meets or misses by no more than it. Where
+one runs along the other within the tolerance, the boundary's ends cut, not the ill-conditioned
+crossing. Cuts within the tolerance of a vertex move onto it, cuts that follow each other within
+it along a segment are one (the first), and vertices that follow each other within it are one
+place; at an element's or part's end such a place gives no cut. So no piece is shorter than the
+tolerance unless its part is.
+"""
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazline.functions.geometry import explode_cells, explode_sub_cells
+from hazline.functions.geometry import dbl, explode_cells, explode_sub_cells
 
 # A cell with more boundaries than this is refined ...
 DENSE_CELL = 512
@@ -21,6 +29,11 @@ _U = "((qx - x1) * (y2 - y1) - (qy - y1) * (x2 - x1)) / nullif(d, 0)"
 _LINE = "(qx - x1) * (y2 - y1) - (qy - y1) * (x2 - x1) = 0"
 _RR = "((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))"
 _T_Q = f"((qx - x1) * (x2 - x1) + (qy - y1) * (y2 - y1)) / {_RR}"
+_LINE_Q = "((qx - x1) * (y2 - y1) - (qy - y1) * (x2 - x1))"
+_LINE_P = "((px - x1) * (y2 - y1) - (py - y1) * (x2 - x1))"
+_EDGE_A = "((x1 - qx) * (py - qy) - (y1 - qy) * (px - qx))"
+_EDGE_B = "((x2 - qx) * (py - qy) - (y2 - qy) * (px - qx))"
+_SS = "((px - qx) * (px - qx) + (py - qy) * (py - qy))"
 _T_P = f"((px - x1) * (x2 - x1) + (py - y1) * (y2 - y1)) / {_RR}"
 
 
@@ -65,16 +78,84 @@ def dense_cells(cells: DataFrame) -> DataFrame | None:
     return cells.sparkSession.createDataFrame(dense.collect(), dense.schema)
 
 
-def _refine(cells: DataFrame, dense: DataFrame, size: float) -> DataFrame:
+def _refine(cells: DataFrame, dense: DataFrame, size: float, slack: float) -> DataFrame:
     return explode_sub_cells(
         cells.join(F.broadcast(dense), ["gx", "gy"], "left").withColumn(
             "k", F.coalesce("k", F.lit(0))
         ),
         size,
+        slack,
+    )
+
+
+def _exact_hits(met: DataFrame) -> DataFrame:
+    return (
+        met.withColumn("d", F.expr(_CROSS))
+        .where(f"(d <> 0 AND {_T} BETWEEN 0 AND 1 AND {_U} BETWEEN 0 AND 1) OR (d = 0 AND {_LINE})")
+        .withColumn("t", F.expr(f"explode(if(d <> 0, array({_T}), array({_T_Q}, {_T_P})))"))
+        .where("t BETWEEN 0 AND 1")
     )
 
 
-def cut_points(seg: DataFrame, boundary: DataFrame, size: float) -> DataFrame:
+def _near_hits(met: DataFrame, tolerance: float) -> DataFrame:
+    """Hits within the tolerance; those near a vertex lie on it, the rest are one per place."""
+    tol = dbl(tolerance)
+    near_q, near_p = (f"abs({line}) <= {tol} * len" for line in (_LINE_Q, _LINE_P))
+    along = (
+        f"(({near_q} AND {near_p})"
+        f" OR (abs({_EDGE_A}) <= {tol} * edge_len AND abs({_EDGE_B}) <= {tol} * edge_len))"
+    )
+    crossing = f"if({_U} * edge_len BETWEEN -{tol} AND edge_len + {tol}, {_T}, NULL)"
+    hit = (
+        met.withColumn("d", F.expr(_CROSS))
+        .withColumn("len", F.expr(f"sqrt({_RR})"))
+        .withColumn("edge_len", F.expr(f"sqrt({_SS})"))
+        .withColumn(
+            "t",
+            F.expr(
+                f"explode(if({along}, array(if({near_q}, {_T_Q}, NULL), if({near_p}, {_T_P}, NULL)),"
+                f" array({crossing})))"
+            ),
+        )
+        .where(f"t * len BETWEEN -{tol} AND len + {tol}")
+        .withColumn("t", F.expr(f"if(t * len <= {tol}, 0D, if((1 - t) * len <= {tol}, 1D, t))"))
+    )
+    # the first cut of each stretch of a tolerance's length, then of each run of such cuts
+    columns = [c for c in hit.columns if c in _SEGMENT or c == "len"]
+    first = hit.groupBy(*columns, F.floor(F.col("t") * F.col("len") / tolerance).alias("place")).agg(
+        F.min("t").alias("t"), F.max("t").alias("t_last")
+    )
+    line = Window.partitionBy("eid", "sn").orderBy("t")
+    gap = (F.col("t") - F.lag("t_last").over(line)) * F.col("len")
+    inner = F.col("t").between(F.lit(1e-300), F.lit(1 - 2**-53))
+    runs = first.where(inner).withColumn("gap", gap).where(F.col("gap").isNull() | (F.col("gap") > tolerance))
+    ends = first.where(~inner)
+    return ends.unionByName(runs.drop("gap"))
+
+
+def _anchors(seg: DataFrame, tolerance: float) -> DataFrame:
+    """Vertices that follow others within the tolerance: (eid, sn, anchor), NULL for no cut."""
+    short = seg.withColumn("len", F.expr(f"sqrt({_RR})")).where(F.col("len") <= tolerance)
+    order = Window.partitionBy("eid", "part_no").orderBy("sn")
+    run = Window.partitionBy("eid", "part_no", "run")
+    runs = short.withColumn("run", F.col("sn") - F.row_number().over(order)).select(
+        "eid",
+        "sn",
+        F.min("sn").over(run).alias("first"),
+        (F.max("part_last").over(run) | F.max("part_first").over(run)).alias("at_end"),
+    )
+    anchor = F.when(~F.col("at_end"), F.col("first")).alias("anchor")
+    after = runs.select("eid", (F.col("sn") + 1).alias("sn"), anchor)
+    before = runs.where("sn = first AND at_end").select("eid", "sn", anchor)
+    return after.unionByName(before)
+
+
+_SEGMENT = ["eid", "n_seg", "sn", "part_no", "x1", "y1", "x2", "y2"]
+
+
+def cut_points(
+    seg: DataFrame, boundary: DataFrame, size: float, tolerance: float = 0.0
+) -> DataFrame:
     """Cuts (eid, sn, t) with 0 <= t < 1, at the segment that starts at or holds the cut.
 
     Both sides meet on the grid cell, an equality key. A cell that holds a large share of
@@ -82,34 +163,46 @@ def cut_points(seg: DataFrame, boundary: DataFrame, size: float) -> DataFrame:
     stay in proportion to the segments. A crossing in a shared cell border shows up in
     each cell; the caller merges equal cuts.
     """
-    left = explode_cells(seg, size)
+    left = explode_cells(seg.select(*_SEGMENT), size, tolerance)
     right = explode_cells(
-        boundary.withColumnsRenamed({"qx": "x1", "qy": "y1", "px": "x2", "py": "y2"}), size
+        boundary.withColumnsRenamed({"qx": "x1", "qy": "y1", "px": "x2", "py": "y2"}),
+        size,
+        tolerance,
     )
     key = ["gx", "gy"]
     dense = dense_cells(right)
     if dense is not None:
-        left, right, key = _refine(left, dense, size), _refine(right, dense, size), [*key, "k"]
+        left, right = (_refine(cells, dense, size, tolerance) for cells in (left, right))
+        key = [*key, "k"]
     right = right.withColumnsRenamed({"x1": "qx", "y1": "qy", "x2": "px", "y2": "py"})
     # Both sides grow with the data, and an exploded side is larger than the planner thinks:
     # sort-merge, whose hot cells adaptive execution splits.
+    tol = dbl(tolerance)
     met = left.join(right.hint("merge"), key).where(
-        "least(x1, x2) <= px AND greatest(x1, x2) >= qx"
-        " AND least(y1, y2) <= greatest(qy, py) AND greatest(y1, y2) >= least(qy, py)"
+        f"least(x1, x2) <= px + {tol} AND greatest(x1, x2) >= qx - {tol}"
+        f" AND least(y1, y2) <= greatest(qy, py) + {tol}"
+        f" AND greatest(y1, y2) >= least(qy, py) - {tol}"
         " AND (is_zone OR owner_lo <> eid OR owner_hi <> eid)"
     )
-    hit = (
-        met.withColumn("d", F.expr(_CROSS))
-        .where(f"(d <> 0 AND {_T} BETWEEN 0 AND 1 AND {_U} BETWEEN 0 AND 1) OR (d = 0 AND {_LINE})")
-        .withColumn("t", F.expr(f"explode(if(d <> 0, array({_T}), array({_T_Q}, {_T_P})))"))
-        .where("t BETWEEN 0 AND 1")
-    )
+    hit = _near_hits(met, tolerance) if tolerance else _exact_hits(met)
     # t = 1 is the start of the next segment; neither end of the element is a cut.
-    return hit.selectExpr(
+    cuts = hit.selectExpr(
         "eid",
         "n_seg",
-        "reach",
         "if(t = 1, sn + 1, sn) AS sn",
         "if(t = 1, 0D, t) AS t",
-        *[f"if(t = 1, NULL, {c}) AS {c}" for c in ("x1", "y1", "x2", "y2")],
+        *[f"if(t = 1, NULL, {c}) AS {c}" for c in ("part_no", "x1", "y1", "x2", "y2")],
     ).where("sn < n_seg AND (sn > 0 OR t > 0)")
+    if not tolerance:
+        return cuts
+    near = _anchors(seg, tolerance)
+    moved = cuts.where("t = 0").join(near.withColumn("moved", F.lit(True)), ["eid", "sn"], "left")
+    return cuts.where("t > 0").unionByName(
+        moved.where("moved IS NULL OR anchor > 0").selectExpr(
+            "eid",
+            "n_seg",
+                "if(moved, anchor, sn) AS sn",
+            "t",
+            *[f"if(moved, NULL, {c}) AS {c}" for c in ("part_no", "x1", "y1", "x2", "y2")],
+        )
+    )

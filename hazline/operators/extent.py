@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazline.functions.geometry import bbox
+from hazline.functions.geometry import bbox, parts_of
 
 
 def _extent(df: DataFrame, points) -> DataFrame:
@@ -20,7 +20,8 @@ def overlap_of_extents(elements: DataFrame, zones: DataFrame, geom="geom"):
 
     Features are kept whole. The common extent is four numbers, taken once.
     """
-    sides = _extent(elements, F.col(geom)).unionByName(_extent(zones, F.flatten(geom)))
+    line = F.flatten(F.expr(parts_of(elements, geom)))
+    sides = _extent(elements, line).unionByName(_extent(zones, F.flatten(geom)))
     box = sides.agg(
         F.max("xmin").alias("xmin"),
         F.max("ymin").alias("ymin"),
@@ -40,4 +41,4 @@ def overlap_of_extents(elements: DataFrame, zones: DataFrame, geom="geom"):
             & (b["ymax"] >= box["ymin"])
         )
 
-    return elements.where(meets(F.col(geom))), zones.where(meets(F.flatten(geom)))
+    return elements.where(meets(line)), zones.where(meets(F.flatten(geom)))

@@ -1,38 +1,15 @@
 """Choice of the grid on which segments and edges meet."""
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazline.functions.geometry import PART_CELLS
-
-# An element with more segments than this is numbered in chunks.
-CHUNK_SEGMENTS = 512
-
-
-@dataclass(frozen=True)
-class Grid:
-    size: float
-    chunked: bool  # some element is too long to be numbered in one group
-
 
-def choose_grid(seg: DataFrame, edge: DataFrame, size: float | None = None) -> Grid:
-    """Cell size = mean extent over all segments and edges.
+def cell_size(seg: DataFrame, edge: DataFrame) -> float:
+    """Mean extent over all segments and edges.
 
     With this size the cell lists hold a small constant times the input rows,
     whichever side is the larger. One aggregate row reaches the driver.
     """
-    extent = "greatest(abs(x2 - x1), abs(y2 - y1))"
-    both = seg.selectExpr("n_seg", f"{extent} AS ext").unionByName(
-        edge.selectExpr("0 AS n_seg", f"{extent} AS ext")
-    )
-    row = both.agg(
-        F.avg("ext").alias("mean"),
-        F.max(F.when(F.col("n_seg") > 0, F.col("ext"))).alias("longest"),
-        F.max("n_seg").alias("n_seg"),
-    ).first()
-    if size is None:
-        size = float(row["mean"] or 1.0)
-    chunked = (row["n_seg"] or 0) > CHUNK_SEGMENTS or (row["longest"] or 0) > PART_CELLS * size
-    return Grid(float(size), chunked)
+    extent = F.expr("greatest(abs(x2 - x1), abs(y2 - y1))").alias("ext")
+    row = seg.select(extent).unionByName(edge.select(extent)).agg(F.avg("ext").alias("mean")).first()
+    return float(row["mean"] or 1.0)

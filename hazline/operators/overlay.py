@@ -2,19 +2,21 @@
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazline.functions.geometry import edges, segments
 from hazline.operators.cuts import boundaries, cut_points
-from hazline.operators.grid import Grid, choose_grid
+from hazline.operators import grid
 from hazline.operators.pairs import piece_zone_pairs
-from hazline.operators.pieces import PIECE_BITS, piece_id, split_lines
+from hazline.operators.pieces import CHUNK_ROWS, PIECE_BITS, piece_id, split_lines
 from hazline.schema import ELEMENT_FIELDS, INTERSECTION, ZONE_FIELDS
 from hazline.session import Stage, spread
 
 EAR_FIELDS = ["study_id", "element_feature_id", *ELEMENT_FIELDS]
+PIECE_KEY = ["element_id", "piece_no"]
 
 
 @dataclass(frozen=True)
@@ -23,12 +25,13 @@ class Split:
 
     pieces: DataFrame
     edge: DataFrame
-    grid: Grid
+    cell_size: float
+    tolerance: float = 0.0
 
     @property
     def ear(self) -> DataFrame:
         geom = ["geom"] if "geom" in self.pieces.columns else []
-        return self.pieces.select(*EAR_FIELDS, "element_id", "piece_no", "element_size", *geom)
+        return self.pieces.select(*EAR_FIELDS, *PIECE_KEY, "part_no", "element_size", *geom)
 
 
 def split_at_zones(
@@ -41,16 +44,20 @@ def split_at_zones(
     geometry: bool = True,
     piece_bits: int = PIECE_BITS,
     save: Callable[[DataFrame], DataFrame] | None = None,
+    tolerance: float = 0.0,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> Split:
     """Splits the elements at the boundaries of all zones, those without events included.
 
+    Coordinates nearer to each other than the tolerance are one place (see operators.cuts).
+
     The pieces are materialised once, by save (which returns the stored table) or in stage.
     """
     seg, edge = segments(elements), edges(zones)
-    grid = choose_grid(seg, edge, cell_size)
+    size = float(cell_size or grid.cell_size(seg, edge))
     boundary = stage.put("boundaries", boundaries(edge, seg if split_at_elements else None))
-    cuts = cut_points(seg, boundary, grid.size)
-    pieces = split_lines(seg, cuts, grid, stage, geometry)
+    cuts = cut_points(seg, boundary, size, tolerance)
+    pieces = split_lines(seg, cuts, stage, geometry, chunk_rows)
     attributes = elements.select(
         F.col("element_id").cast("bigint").alias("eid"), *ELEMENT_FIELDS
     )
@@ -60,9 +67,8 @@ def split_at_zones(
         .withColumn("element_feature_id", piece_id(bits=piece_bits))
         .withColumnsRenamed({"eid": "element_id", "length": "element_size"})
     )
-    if save is None:
-        return Split(stage.put("pieces", with_attributes), edge, grid)
-    return Split(save(with_attributes), edge, grid)
+    save = save or partial(stage.put, "pieces")
+    return Split(save(with_attributes), edge, size, tolerance)
 
 
 def intersect(split: Split, zones: DataFrame, stage: Stage, min_size: float = 0.0) -> DataFrame:
@@ -80,8 +86,8 @@ def intersect(split: Split, zones: DataFrame, stage: Stage, min_size: float = 0.
     sized = split.pieces.where(
         (F.col("element_size") > 0) & (F.col("element_size") >= F.lit(float(min_size)))
     )
-    keep = [*EAR_FIELDS, "element_size"]
-    pairs = piece_zone_pairs(sized, edge, split.grid.size, stage, keep)
+    keep = [*EAR_FIELDS, *PIECE_KEY, "element_size"]
+    pairs = piece_zone_pairs(sized, edge, split.cell_size, stage, keep, split.tolerance)
     return (
         pairs.join(active, "zid")
         .withColumnRenamed("zid", "hazardzone_feature_id")

@@ -1,159 +1,164 @@
-"""Elements split at their cuts: numbering, lengths and geometry of the pieces."""
+"""Elements split at their cuts: numbering, lengths and geometry of the pieces.
+
+Segment starts and cuts are the rows of a line. An element of usual size is numbered in one
+group. One with more than chunk_rows rows is numbered in chunks of that many rows, whether they
+are segments or cuts: its rows are range-partitioned, ranked by the counts of the partitions
+before, and cut into chunks by rank; each chunk carries where the next one starts, and piece
+numbers add up the cuts of the chunks before. Both kinds go through one plan.
+"""
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazline.functions.geometry import PART_CELLS, dbl
-from hazline.operators.grid import CHUNK_SEGMENTS, Grid
 from hazline.session import Stage
 
-# Fixed layout of the piece id: source id in the high bits, piece number below.
+# Fixed layout of the short piece id: source id in the high bits, piece number below.
 PIECE_BITS = 20
+# Rows of one element that are numbered in one group.
+CHUNK_ROWS = 65_536
 
 _LEN = "sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))"
 _HEAD = ["h_t", "h_x1", "h_y1", "h_x2", "h_y2"]
+_VALUES = ["part_no", "x1", "y1", "x2", "y2", "cut"]
+_KEY = ["eid", "chunk"]
+# The middle of a piece's longest stretch stands for the piece: farthest from any boundary.
+_INNER = (
+    f"struct((t2 - t) * {_LEN} AS len, -sn AS sn, -t AS at, (t + t2) / 2 AS h_t,"
+    " x1 AS h_x1, y1 AS h_y1, x2 AS h_x2, y2 AS h_y2)"
+)
+
+
+def _rows(seg: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Segment starts and cuts; a further part of a line starts a piece like a cut."""
+    columns = ["eid", "sn", "part_no", "x1", "y1", "x2", "y2"]
+    part = "CAST(part_first AND sn > 0 AS INT) AS cut"
+    return seg.selectExpr(*columns, "0D AS t", part).unionByName(
+        cuts.selectExpr(*columns, "t", "1 AS cut")
+    )
 
 
-def _chunk_key(grid: Grid) -> list[str]:
-    return ["eid", "c1", "c2"] if grid.chunked else ["eid"]
+def long_elements(seg: DataFrame, cuts: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Elements (eid) with more rows than a chunk."""
+    cut = cuts.groupBy("eid").agg(F.count("*").alias("n_cut"), F.max("n_seg").alias("n_seg"))
+    line = seg.where((F.col("sn") == 0) & (F.col("n_seg") > chunk_rows))
+    both = cut.unionByName(line.select("eid", F.lit(0).cast("bigint").alias("n_cut"), "n_seg"))
+    rows = both.groupBy("eid").agg((F.sum("n_cut") + F.max("n_seg")).alias("n_rows"))
+    return rows.where(F.col("n_rows") > chunk_rows).select("eid")
 
 
-def _with_chunks(seg: DataFrame, cuts: DataFrame, grid: Grid) -> DataFrame:
-    """Segment starts and cuts with their chunk (c1, c2), in line order.
+def _merged(rows: DataFrame, *key: str) -> DataFrame:
+    return rows.groupBy(*key, "sn", "t").agg(*[F.max(c).alias(c) for c in _VALUES])
 
-    An element of usual size is one chunk. A longer one is split by segment number,
-    and one with a very long segment by parts of each segment, so that no group grows
-    with the longest element. t_end is where the chunk's part of the segment ends.
-    """
-    starts = seg.selectExpr("*", "0D AS t", "0 AS cut", "0 AS virtual")
-    cut = cuts.selectExpr("*", "1 AS cut", "0 AS virtual")
-    if not grid.chunked:
-        return starts.unionByName(cut)
-    span = grid.size * PART_CELLS
-    n_part = f"CAST(greatest(1, ceil(greatest(abs(x2 - x1), abs(y2 - y1)) / {dbl(span)})) AS INT)"
-    # A long segment's further parts start at points that are neither vertex nor cut.
-    inner = (
-        starts.withColumn("n_part", F.expr(n_part))
-        .where("n_part > 1")
-        .withColumn("part", F.expr("explode(sequence(1, n_part - 1))"))
-        .withColumn("t", F.col("part") / F.col("n_part"))
-        .withColumn("virtual", F.lit(1))
-        .drop("n_part")
+
+def chunked_rows(rows: DataFrame, stage: Stage, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Rows with their chunk, from 1, of at most chunk_rows, and t_end, where its last one ends."""
+    line = ["eid", "sn", "t"]
+    held = stage.put(
+        "long_rows",
+        _merged(rows, "eid")
+        .repartitionByRange(*line)
+        .sortWithinPartitions(*line)
+        .withColumn("line", F.monotonically_increasing_id())
+        .withColumn("part", F.spark_partition_id()),
     )
-    # Parts lie between the very quotients k / n_part at which they start. A start knows its
-    # part; the floor of a cut's t * n_part can be one off, so it is held against them.
-    near = "CAST(floor(t * n_part) AS INT)"
-    own = (
-        f"CASE WHEN t < {near} / n_part THEN {near} - 1"
-        f" WHEN t >= ({near} + 1) / n_part THEN {near} + 1 ELSE {near} END"
+    # a row per element and partition that holds some of it
+    before = Window.partitionBy("eid").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = (
+        held.groupBy("eid", "part")
+        .agg(F.min("line").alias("first"), F.count("*").alias("n"))
+        .select("eid", "part", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("past"))
     )
-    return (
-        starts.withColumn("part", F.lit(0))
-        .unionByName(inner)
-        .unionByName(cut.withColumn("part", F.lit(None).cast("int")))
-        # a cut at a segment start comes without coordinates: part 0, end unknown
-        .withColumn("n_part", F.expr(f"if(x1 IS NULL, NULL, {n_part})"))
-        .withColumn("part", F.expr(f"coalesce(part, least(n_part - 1, {own}), 0)"))
-        .withColumn("wide", F.expr(f"reach > {dbl(span)}"))
-        .selectExpr(
-            "*",
-            f"if(wide, sn, CAST(floor(sn / {CHUNK_SEGMENTS}) AS INT)) AS c1",
-            "if(wide, part, 0) AS c2",
-            "CAST(if(wide, (part + 1) / n_part, 1) AS DOUBLE) AS t_end",
-            f"wide OR n_seg > {CHUNK_SEGMENTS} AS multi",
-        )
-        .drop("n_part", "part", "wide")
+    rank = F.col("line") - F.col("first") + F.col("past")
+    ranked = held.join(runs, ["eid", "part"]).withColumn("chunk", 1 + F.floor(rank / chunk_rows))
+    # a row per chunk
+    following = F.lead("here").over(Window.partitionBy("eid").orderBy("chunk"))
+    borders = (
+        ranked.groupBy(*_KEY)
+        .agg(F.min(F.struct("sn", "t")).alias("here"))
+        .select(*_KEY, following.alias("next"))
     )
+    t_end = F.when(F.col("next.sn") == F.col("sn"), F.col("next.t")).otherwise(F.lit(1.0))
+    return ranked.join(borders, _KEY).select(*_KEY, "sn", "t", *_VALUES, t_end.alias("t_end"))
 
 
-def _sub_segments(seg: DataFrame, cuts: DataFrame, grid: Grid) -> DataFrame:
+def _sub_segments(rows: DataFrame) -> DataFrame:
     """Stretches t..t2 of segments between neighbouring cuts and vertices.
 
     lp counts the cuts of the chunk up to the stretch. One shuffle, on the chunk.
     """
-    chunk = _chunk_key(grid)
-    values = ["x1", "y1", "x2", "y2", "cut"] + (["t_end", "multi"] if grid.chunked else [])
-    merged = (
-        _with_chunks(seg, cuts, grid)
-        .repartition(*chunk)
-        .groupBy(*chunk, "sn", "t")
-        .agg(*[F.max(c).alias(c) for c in values], F.min("virtual").alias("virtual"))
-    )
-    line = Window.partitionBy(*chunk).orderBy("sn", "t")
-    t_end = F.col("t_end") if grid.chunked else F.lit(1.0)
-    return (
-        merged.withColumn("lp", F.sum("cut").over(line.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("t2", F.when(F.lead("sn").over(line) == F.col("sn"), F.lead("t").over(line)))
-        .withColumn("head", (F.col("cut") == 1) | F.lag("sn").over(line).isNull())
-        .withColumn("t2", F.coalesce("t2", t_end))
-    )
+    line = Window.partitionBy(*_KEY).orderBy("sn", "t")
+    same = F.lead("sn").over(line) == F.col("sn")
+    return rows.withColumn(
+        "lp", F.sum("cut").over(line.rowsBetween(Window.unboundedPreceding, 0))
+    ).withColumn("t2", F.coalesce(F.when(same, F.lead("t").over(line)), "t_end"))
 
 
-def _parts(sub: DataFrame, grid: Grid, geometry: bool) -> DataFrame:
-    """One row per piece and chunk: length, inner point of the first stretch, stretches."""
-
-    def first(expr):
-        return F.max(F.when(F.col("head"), F.expr(expr)))
-
+def _parts(sub: DataFrame, geometry: bool) -> DataFrame:
+    """One row per piece and chunk: length, longest stretch, stretches."""
     measures = [
         F.sum(F.expr(f"(t2 - t) * {_LEN}")).alias("length"),
-        first("(t + t2) / 2").alias("h_t"),
-        *[first(c).alias(f"h_{c}") for c in ("x1", "y1", "x2", "y2")],
+        F.max("part_no").alias("part_no"),
+        F.max(F.expr(_INNER)).alias("inner"),
     ]
     if geometry:
         stretch = F.expr(
-            "struct(sn, t, virtual, x1 + t * (x2 - x1) AS x, y1 + t * (y2 - y1) AS y,"
+            "struct(sn, t, x1 + t * (x2 - x1) AS x, y1 + t * (y2 - y1) AS y,"
             " if(t2 = 1, x2, x1 + t2 * (x2 - x1)) AS xe, if(t2 = 1, y2, y1 + t2 * (y2 - y1)) AS ye)"
         )
         measures.append(F.collect_list(stretch).alias("stretches"))
-    key = [*_chunk_key(grid), "lp"] + (["multi"] if grid.chunked else [])
-    return sub.groupBy(*key).agg(*measures)
+    return sub.groupBy(*_KEY, "lp").agg(*measures)
 
 
 def _joined_chunks(parts: DataFrame, geometry: bool) -> DataFrame:
     """Numbers the pieces of chunked elements across chunks and joins what a chunk border split."""
-    order = Window.partitionBy("eid").orderBy("c1", "c2").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy("eid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     offset = (
-        parts.groupBy("eid", "c1", "c2")
+        parts.groupBy(*_KEY)
         .agg(F.max("lp").alias("n"))
-        .select("eid", "c1", "c2", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
+        .select(*_KEY, F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
     )
-    head = F.min(F.struct("c1", "c2", *_HEAD))
-    measures = [F.sum("length").alias("length"), head.alias("head")]
+    measures = [
+        F.sum("length").alias("length"),
+        F.max("part_no").alias("part_no"),
+        F.max("inner").alias("inner"),
+    ]
     if geometry:
         measures.append(F.flatten(F.collect_list("stretches")).alias("stretches"))
     return (
-        parts.join(offset, ["eid", "c1", "c2"])
+        parts.join(offset, _KEY)
         .withColumn("piece_no", F.col("lp") + F.col("before"))
         .groupBy("eid", "piece_no")
         .agg(*measures)
-        .select("eid", "piece_no", "length", "head.*", *(["stretches"] if geometry else []))
-        .drop("c1", "c2")
     )
 
 
 def split_lines(
-    seg: DataFrame, cuts: DataFrame, grid: Grid, stage: Stage, geometry: bool = True
+    seg: DataFrame,
+    cuts: DataFrame,
+    stage: Stage,
+    geometry: bool = True,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Pieces (eid, piece_no from 0, length, inner-point columns h_*, geom)."""
-    parts = _parts(_sub_segments(seg, cuts, grid), grid, geometry)
-    single = ["eid", F.col("lp").alias("piece_no"), "length", *_HEAD]
-    single += ["stretches"] if geometry else []
-    if grid.chunked:
-        parts = stage.put("parts", parts)
-        pieces = (
-            parts.where("NOT multi")
-            .select(*single)
-            .unionByName(_joined_chunks(parts.where("multi"), geometry))
-        )
-    else:
-        pieces = parts.select(*single)
+    """Pieces (eid, piece_no from 0 over all parts, part_no, length, inner-point columns h_*, geom)."""
+    cuts = stage.put("cuts", cuts)
+    long = stage.put("long_elements", long_elements(seg, cuts, chunk_rows))
+    whole = _rows(*(side.join(long, "eid", "left_anti") for side in (seg, cuts)))
+    whole = _merged(whole.withColumn("chunk", F.lit(0)).repartition(*_KEY), *_KEY)
+    single = _parts(_sub_segments(whole.withColumn("t_end", F.lit(1.0))), geometry)
+    rows = _rows(*(side.join(long, "eid", "left_semi") for side in (seg, cuts)))
+    chunks = chunked_rows(rows, stage, chunk_rows)
+    parts = stage.put("long_parts", _parts(_sub_segments(chunks.repartition(*_KEY)), geometry))
+    pieces = (
+        single.withColumnRenamed("lp", "piece_no")
+        .drop("chunk")
+        .unionByName(_joined_chunks(parts, geometry))
+    )
+    pieces = pieces.select("*", *[f"inner.{name}" for name in _HEAD]).drop("inner")
     if not geometry:
         return pieces
     ordered = pieces.withColumn("stretches", F.array_sort("stretches"))
     vertices = F.transform(
-        F.filter("stretches", lambda s: s["virtual"] == 0),
-        lambda s: F.struct(s["x"].alias("x"), s["y"].alias("y")),
+        "stretches", lambda s: F.struct(s["x"].alias("x"), s["y"].alias("y"))
     )
     last = F.element_at("stretches", -1)
     end = F.array(F.struct(last["xe"].alias("x"), last["ye"].alias("y")))
@@ -161,11 +166,16 @@ def split_lines(
 
 
 def piece_id(source="eid", number="piece_no", bits: int = PIECE_BITS):
-    """element_feature_id; unique while id_overflow() is false for every row."""
-    return (F.shiftleft(F.col(source).cast("bigint"), bits) + F.col(number)).cast("bigint")
+    """element_feature_id: a short number for one column; NULL where id_overflow() holds.
+
+    (element_id, piece_no) is the key of a piece, whatever their range.
+    """
+    short = F.shiftleft(F.col(source).cast("bigint"), bits) + F.col(number)
+    return F.when(~id_overflow(source, number, bits), short.cast("bigint"))
 
 
 def id_overflow(source="element_id", number="piece_no", bits: int = PIECE_BITS):
+    """Whether element id and piece number do not fit one number."""
     return (
         (F.col(number) >= F.lit(1 << bits))
         | (F.col(source) < F.lit(-(1 << (63 - bits))))

@@ -10,7 +10,7 @@ under spark.sql.autoBroadcastJoinThreshold and shuffles it (splitting hot keys)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ELEMENT_KEY = ["study_id", "element_feature_id"]
+ELEMENT_KEY = ["study_id", "element_id", "piece_no"]
 ROUTE_KEY = ["study_id", "route_code"]
 
 
@@ -73,6 +73,7 @@ def element_summary(
         event_costs(pairs, element_type, process_type)
         .groupBy(*ELEMENT_KEY)
         .agg(
+            F.first("element_feature_id").alias("element_feature_id"),
             F.sum("freq").alias("hazard_frequency"),
             F.sum("closure").alias("closure_cost"),
             F.sum("repair").alias("repair_cost"),
@@ -116,7 +117,7 @@ def route_summary(pairs: DataFrame, element_type: DataFrame, process_type: DataF
         )
     )
     counts = pairs.groupBy(*ROUTE_KEY).agg(
-        F.countDistinct("element_feature_id").alias("n_elements")
+        F.countDistinct("element_id", "piece_no").alias("n_elements")
     )
     same = (costs["study_id"].eqNullSafe(counts["study_id"])) & (
         costs["route_code"].eqNullSafe(counts["route_code"])
@@ -128,7 +129,7 @@ def route_summary(pairs: DataFrame, element_type: DataFrame, process_type: DataF
 
 def element_layer(ear: DataFrame, summary: DataFrame) -> DataFrame:
     """All pieces with their element measures; NULL where no zone hits the piece."""
-    return ear.join(summary, ELEMENT_KEY, "left")
+    return ear.join(summary.drop("element_feature_id"), ELEMENT_KEY, "left")
 
 
 def route_layer(ear: DataFrame, summary: DataFrame) -> DataFrame:

@@ -30,6 +30,9 @@ INTERSECTION = T.StructType(
         *[T.StructField(n, t) for n, t in ELEMENT_FIELDS.items()],
         *[T.StructField(n, t) for n, t in ZONE_FIELDS.items()],
         T.StructField("element_size", T.DoubleType()),
+        # the key of the piece; element_feature_id is NULL where they do not fit one number
+        T.StructField("element_id", T.LongType()),
+        T.StructField("piece_no", T.LongType()),
     ]
 )
 
@@ -52,6 +55,14 @@ DATASET = T.StructType(
     ]
 )
 
+CURRENT = T.StructType(
+    [
+        T.StructField("study_id", T.LongType()),
+        T.StructField("table_name", T.StringType()),
+        T.StructField("run_id", T.StringType()),
+    ]
+)
+
 PROCESS_TYPE = T.StructType(
     [
         T.StructField("processtype_id", T.IntegerType()),

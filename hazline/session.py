@@ -50,6 +50,14 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def create_path(spark: SparkSession, path: str) -> bool:
+    """Creates an empty file; False where it exists. At most one of several writers gets True."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(target.getParent())
+    return files.createNewFile(target)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -119,3 +119,73 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
         interval.alias("freq_interval_minus"),
         F.array(ring).alias("geom"),
     )
+
+
+def multipart_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One element per customer, whose parts are the lines of its orders.
+
+    Odd customers have ids beyond 2^50, even ones negative ids.
+    """
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_custkey", "o_orderkey")
+    parts = orders.join(
+        lines(spark, sf_dir).withColumnRenamed("element_id", "o_orderkey"), "o_orderkey", "left"
+    )
+    ordered = F.array_sort(F.collect_list(F.when(F.col("geom").isNotNull(), F.struct("o_orderkey", "geom"))))
+    return parts.groupBy("o_custkey").agg(ordered.alias("parts"), F.count("*").alias("n")).select(
+        F.expr("if(o_custkey % 2 = 1, 1125899906842624 + o_custkey, -o_custkey)").alias("element_id"),
+        F.lit("EV").alias("elementtype_code"),
+        F.expr("concat('R', o_custkey % 100)").alias("route_code"),
+        F.col("n").cast("double").alias("aadt_passenger"),
+        F.lit(1.0).alias("aadt_goods"),
+        F.lit(30.0).alias("diversion_time"),
+        F.transform("parts", lambda p: p["geom"]).alias("geom"),
+    )
+
+
+def long_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seven elements with a part per order, and twenty of one segment across the plane."""
+    keys = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_custkey", "o_orderkey")
+    parts = keys.join(lines(spark, sf_dir).withColumnRenamed("element_id", "o_orderkey"), "o_orderkey")
+    ordered = F.array_sort(F.collect_list(F.struct("o_orderkey", "geom")))
+    winding = parts.groupBy(F.expr("-1 - o_custkey % 7").alias("element_id")).agg(
+        F.transform(ordered, lambda p: p["geom"]).alias("geom")
+    )
+    y = "CAST(20000 * id + 10 AS DOUBLE)"
+    straight = spark.range(20).selectExpr(
+        "1152921504606846976 + id AS element_id",
+        f"array(array(named_struct('x', 0D, 'y', {y}), named_struct('x', 400000D, 'y', {y}))) AS geom",
+    )
+    return winding.unionByName(straight).selectExpr(
+        "element_id",
+        "'EV' AS elementtype_code",
+        "'R1' AS route_code",
+        "1D AS aadt_passenger",
+        "1D AS aadt_goods",
+        "30D AS diversion_time",
+        "geom",
+    )
+
+
+def sevenths(elements: DataFrame, zones: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both layers with a seventh of their coordinates, and a neighbour (of negative id) in each
+    zone's notch, whose shared borders are computed in another way and differ in the last bits."""
+    line = F.transform("geom", lambda p: F.struct((p["x"] / 7).alias("x"), (p["y"] / 7).alias("y")))
+    ring = F.transform(
+        "geom",
+        lambda r: F.transform(r, lambda p: F.struct((p["x"] / 7).alias("x"), (p["y"] / 7).alias("y"))),
+    )
+    # the fourth corner of the ring is the zone's centre, the second lies 2 r to its right
+    centre, right = F.col("geom")[0][3], F.col("geom")[0][1]
+    r = (right["x"] - centre["x"]) / 2 / 7
+    corners = [(0, 0), (2, 0), (2, 2), (0, 2)]
+    notch = F.array(
+        *[
+            F.struct((centre["x"] / 7 + r * a).alias("x"), (centre["y"] / 7 + r * b).alias("y"))
+            for a, b in corners
+        ]
+    )
+    neighbours = zones.withColumn("zone_id", -F.col("zone_id")).withColumn("geom", F.array(notch))
+    return (
+        elements.withColumn("geom", line),
+        zones.withColumn("geom", ring).unionByName(neighbours),
+    )

@@ -53,7 +53,7 @@ def engine_overlay(spark, elements, zones, cell_size=None, **options):
     lines, areas = elements_df(spark, elements), zones_df(spark, zones)
     split = split_at_zones(lines, areas, 1, stage, cell_size, **options)
     rows = stage.put("rows", intersect(split, areas, stage))
-    assert rows.count() == rows.select("element_feature_id", "hazardzone_feature_id").distinct().count()
+    assert rows.count() == rows.select("element_id", "piece_no", "hazardzone_feature_id").distinct().count()
     hits = (
         rows.groupBy("element_feature_id")
         .agg(F.collect_set("hazardzone_feature_id").alias("zones"))

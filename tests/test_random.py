@@ -4,9 +4,8 @@ import random
 
 import pytest
 
-from hazline.functions import geometry
 from hazline.functions.geometry import edges
-from hazline.operators import cuts, grid, pieces, tessellate
+from hazline.operators import cuts, tessellate
 from tests import brute
 from tests.layers import assert_same, engine_overlay, zones_df
 
@@ -50,14 +49,10 @@ def test_overlay_equals_exact_arithmetic(spark, seed, cell_size):
     assert_same(engine_overlay(spark, lines, zones, cell_size), brute.overlay(lines, zones))
 
 
-@pytest.mark.parametrize("seed,chunk,part", [(4, 2, 10**6), (5, 10**6, 2), (6, 3, 3)])
-def test_long_elements_in_chunks(spark, monkeypatch, seed, chunk, part):
-    for module in (grid, pieces):
-        monkeypatch.setattr(module, "CHUNK_SEGMENTS", chunk)
-        monkeypatch.setattr(module, "PART_CELLS", part)
-    monkeypatch.setattr(geometry, "PART_CELLS", part)
+@pytest.mark.parametrize("seed,chunk", [(4, 1), (5, 2), (6, 7)])
+def test_long_elements_in_chunks(spark, seed, chunk):
     lines, zones = random_layers(seed)
-    assert_same(engine_overlay(spark, lines, zones, 9.0), brute.overlay(lines, zones))
+    assert_same(engine_overlay(spark, lines, zones, 9.0, chunk_rows=chunk), brute.overlay(lines, zones))
 
 
 def test_large_zone_with_inner_blocks_of_several_levels(spark):

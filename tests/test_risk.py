@@ -1,6 +1,7 @@
 """Costs per element and route, against sums written out by hand."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from hazline.operators import risk
 from hazline.operators.quality import ImportFailed, load_report, load_status, require_success
@@ -19,7 +20,8 @@ ROWS = [
 
 @pytest.fixture(scope="module")
 def pairs(spark):
-    return spark.createDataFrame(ROWS, INTERSECTION)
+    # the key of a piece: element 0, piece number
+    return spark.createDataFrame([(*row, 0, row[1]) for row in ROWS], INTERSECTION)
 
 
 @pytest.fixture(scope="module")
@@ -69,8 +71,8 @@ def test_an_event_closes_a_route_once(pairs, params):
 
 def test_layers_keep_pieces_without_hazard(spark, pairs, params):
     ear = spark.createDataFrame(
-        [(1, 10, "A"), (1, 99, "A"), (1, 98, "Z")],
-        "study_id bigint, element_feature_id bigint, route_code string",
+        [(1, 10, "A", 0, 10), (1, 99, "A", 0, 99), (1, 98, "Z", 0, 98)],
+        "study_id bigint, element_feature_id bigint, route_code string, element_id bigint, piece_no bigint",
     )
     by_element = risk.element_layer(ear, risk.element_summary(pairs, *params)).collect()
     assert {r.element_feature_id: r.n_zones for r in by_element} == {10: 2, 99: None, 98: None}
@@ -94,10 +96,12 @@ def test_load_report_and_status(spark, pairs, params):
     assert counts["element_type_without_parameters"] == (0, 1)
     assert load_status(report).first() == (0, True)
     require_success(report)
-    bad = spark.createDataFrame([(1, 2**20, "A", 1.0), (-1, 0, "A", 1.0)], columns)
-    failed = load_report(bad, pairs, *params)
+    # a piece without a short number is a note, one without a key an error
+    large = spark.createDataFrame([(1, 2**20, "A", 1.0), (-1, 0, "A", 1.0)], columns)
+    noted = load_report(large, pairs, *params)
+    assert {r.check_name: r.n_rows for r in noted.collect()}["piece_id_overflow"] == 1
+    assert load_status(noted).first().success
+    failed = load_report(good, pairs.withColumn("piece_no", F.lit(None).cast("bigint")), *params)
     assert load_status(failed).first() == (1, False)
-    with pytest.raises(ImportFailed, match="piece_id_overflow: 1 rows"):
+    with pytest.raises(ImportFailed, match="key_missing: 5 rows"):
         require_success(failed)
-    wider = load_report(bad.where("element_id > 0"), pairs, *params, piece_bits=24)
-    assert load_status(wider).first().success
