@@ -14,9 +14,11 @@ from hazline.operators.overlay import Split, intersect, split_at_zones
 from hazline.session import Stage
 from hazline.sinks.store import StudyStore
 from hazline.sources import fixtures
+from hazline.sources.tables import read_element_type, read_process_type
 
 STUDY_ID = 1
 
+_PARAMETERS: dict[str, tuple[str, str]] = {}
 _LAYERS: dict[tuple, "Layers"] = {}
 _OVERLAYS: dict[tuple, "Overlay"] = {}
 _STORES: dict[tuple, StudyStore] = {}
@@ -40,11 +42,24 @@ def _key(spark: SparkSession, sf_dir: str) -> tuple:
     return spark.sparkContext.applicationId, sf_dir
 
 
+def parameters(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+    """Element and process types, read from the Parquet tables of an installation."""
+    app = spark.sparkContext.applicationId
+    if app not in _PARAMETERS:
+        stage = Stage(spark)
+        _PARAMETERS[app] = (
+            stage.write("element_type", fixtures.element_types(spark)),
+            stage.write("process_type", fixtures.process_types(spark)),
+        )
+    element_type, process_type = _PARAMETERS[app]
+    return read_element_type(spark, element_type), read_process_type(spark, process_type)
+
+
 def layers(spark: SparkSession, sf_dir: str) -> Layers:
     key = _key(spark, sf_dir)
     if key not in _LAYERS:
         stage = Stage(spark)
-        elements = stage.write("elements", fixtures.elements(spark, sf_dir))
+        elements = stage.write("elements", fixtures.raw_elements(spark, sf_dir))
         zones = stage.write("zones", fixtures.zones(spark, sf_dir))
         _LAYERS[key] = Layers(
             spark.read.parquet(elements), spark.read.parquet(zones), elements, zones

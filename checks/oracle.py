@@ -6,6 +6,8 @@ zone. No grid, no tessellation and no chunks, so the two sides differ where the
 could go wrong.
 """
 
+import re
+
 from checks.numbers import HALF
 
 INPUT = """
@@ -87,8 +89,8 @@ def _base(*names: str) -> str:
     """The input with some of its tables under the name <name>0, to be defined anew."""
     text = INPUT
     for name in names:
-        text = text.replace(f"{name} AS MATERIALIZED", f"{name}0 AS MATERIALIZED")
-        text = text.replace(f"FROM {name}", f"FROM {name}0")
+        text = re.sub(rf"\b{name} AS MATERIALIZED", f"{name}0 AS MATERIALIZED", text)
+        text = re.sub(rf"FROM {name}\b", f"FROM {name}0", text)
     return text
 
 
@@ -111,6 +113,30 @@ seg AS MATERIALIZED (
   FROM seg0 s JOIN part p ON s.eid = o_orderkey WINDOW w AS (PARTITION BY id ORDER BY o_orderkey, s.sn))
 """
 
+
+def extent_sql(shift: int) -> str:
+    """Elements moved to the right, and both layers restricted to their common extent."""
+    return _base("seg", "element", "zone", "edge", "zbox") + f""",
+line AS (SELECT *, xmin + {shift} AS x_lo, xmax + {shift} AS x_hi FROM raw_element),
+box AS (
+  SELECT greatest(e.xmin, z.xmin) AS xmin, greatest(e.ymin, z.ymin) AS ymin,
+    least(e.xmax, z.xmax) AS xmax, least(e.ymax, z.ymax) AS ymax
+  FROM (SELECT min(x_lo) AS xmin, min(ymin) AS ymin, max(x_hi) AS xmax, max(ymax) AS ymax FROM line) e,
+       (SELECT min(xmin) AS xmin, min(ymin) AS ymin, max(xmax) AS xmax, max(ymax) AS ymax FROM zbox0) z),
+element AS MATERIALIZED (
+  SELECT m.* FROM line m, box b WHERE m.element_id IN (SELECT eid FROM seg0)
+    AND x_lo <= b.xmax AND x_hi >= b.xmin AND m.ymin <= b.ymax AND m.ymax >= b.ymin),
+zbox AS MATERIALIZED (
+  SELECT m.* FROM zbox0 m, box b
+  WHERE m.xmin <= b.xmax AND m.xmax >= b.xmin AND m.ymin <= b.ymax AND m.ymax >= b.ymin),
+zone AS MATERIALIZED (SELECT * FROM zone0 WHERE zid IN (SELECT zid FROM zbox)),
+edge AS MATERIALIZED (SELECT * FROM edge0 WHERE zid IN (SELECT zid FROM zbox)),
+seg AS MATERIALIZED (
+  SELECT eid, sn, n_seg, part_no, part_first, x1 + {shift} AS x1, y1, x2 + {shift} AS x2, y2
+  FROM seg0 WHERE eid IN (SELECT element_id FROM element))
+"""
+
+
 # Seven elements of a part per order, and twenty straight lines across the plane.
 LONG = _base("seg", "element") + """,
 straight AS (SELECT unnest(range(20)) AS i),
@@ -180,6 +206,12 @@ def split_sql(
 ) -> str:
     """CTEs cut, stretch (sub-segments with piece numbers) and piece."""
     tol = f"{tolerance}::DOUBLE"
+    return source + CAND.format(tol=tol) + split_tail(split_at_elements, tolerance)
+
+
+def split_tail(split_at_elements: bool = False, tolerance: float = 0.0) -> str:
+    """CTEs cut, stretch and piece over seg, edge and cand."""
+    tol = f"{tolerance}::DOUBLE"
     near = f""",
 near AS (SELECT *, near_q AND near_p OR abs(ea) <= {tol} * el AND abs(eb) <= {tol} * el AS along FROM (
   SELECT *, abs(un) <= {tol} * len AS near_q, abs(lp) <= {tol} * len AS near_p FROM (
@@ -189,9 +221,7 @@ near AS (SELECT *, near_q AND near_p OR abs(ea) <= {tol} * el AND abs(eb) <= {to
       (x2 - qx) * (py - qy) - (y2 - qy) * (px - qx) AS eb
     FROM meet)))"""
     return (
-        source
-        + CAND.format(tol=tol)
-        + f""",
+        f""",
 meet AS (SELECT *, CAST((x2 - x1) * (py - qy) - (y2 - y1) * (px - qx) AS DOUBLE) AS d,
     CAST((qx - x1) * (py - qy) - (qy - y1) * (px - qx) AS DOUBLE) AS tn,
     CAST((qx - x1) * (y2 - y1) - (qy - y1) * (x2 - x1) AS DOUBLE) AS un,

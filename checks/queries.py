@@ -6,7 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import oracle as sql
-from checks.inputs import STUDY_ID, fresh_intersections, fresh_split, layers, overlay, stored
+from checks.inputs import (
+    STUDY_ID,
+    fresh_intersections,
+    fresh_split,
+    layers,
+    overlay,
+    parameters,
+    stored,
+)
 from checks.numbers import fixed
 from hazline.functions.geometry import edges, segments
 from hazline.operators import quality, risk
@@ -21,7 +29,7 @@ from hazline.schema import ELEMENT_FIELDS
 from hazline.session import Stage
 from hazline.sinks.store import StudyStore
 from hazline.sources import fixtures
-from hazline.sources.tables import bind_elements, bind_zones
+from hazline.sources.tables import bind_elements, bind_zones, read_elements, read_zones
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,10 +45,6 @@ def query(oracle: str | None = None):
     return add
 
 
-def _parameters(spark):
-    return fixtures.element_types(spark), fixtures.process_types(spark)
-
-
 def _rounded(df: DataFrame, **digits: int) -> DataFrame:
     return df.withColumns({name: fixed(name, n) for name, n in digits.items()})
 
@@ -83,7 +87,7 @@ SELECT CAST(zid AS BIGINT) AS zone_id, 0 AS ring, CAST(k AS INTEGER) AS k,
   CAST(px AS DOUBLE) AS x2, CAST(py AS DOUBLE) AS y2
 FROM edge""")
 def zones_scan(spark, sf_dir):
-    return edges(fixtures.zones(spark, sf_dir)).select(
+    return edges(read_zones(spark, layers(spark, sf_dir).zones_path)).select(
         F.col("zid").alias("zone_id"), "ring", "k", "x1", "y1", "x2", "y2"
     )
 
@@ -94,7 +98,7 @@ SELECT eid AS element_id, CAST(sn AS INTEGER) AS segment_no, CAST(n_seg AS INTEG
   CAST(x2 AS DOUBLE) AS x2, CAST(y2 AS DOUBLE) AS y2
 FROM seg""")
 def elements_scan(spark, sf_dir):
-    return segments(fixtures.elements(spark, sf_dir)).select(
+    return segments(read_elements(spark, layers(spark, sf_dir).elements_path)).select(
         F.col("eid").alias("element_id"),
         F.col("sn").alias("segment_no"),
         F.col("n_seg").alias("n_segments"),
@@ -138,9 +142,9 @@ def field_mapping(spark, sf_dir):
 
 @query(sql.INPUT + """
 SELECT element_id, elementtype_code, route_code, aadt_passenger, aadt_goods, diversion_time
-FROM element""")
+FROM raw_element""")
 def field_mapping_elements(spark, sf_dir):
-    user = fixtures.elements(spark, sf_dir).selectExpr(
+    user = fixtures.raw_elements(spark, sf_dir).selectExpr(
         "element_id AS OBJECTID",
         "elementtype_code AS VegKat",
         "route_code AS Strekning",
@@ -157,9 +161,14 @@ def field_mapping_elements(spark, sf_dir):
 SHIFT = 200000
 
 
+def _moved(elements):
+    line = F.expr(f"transform(geom, p -> named_struct('x', p.x + {SHIFT}, 'y', p.y))")
+    return elements.withColumn("geom", line)
+
+
 @query(sql.INPUT + f""",
 moved AS (SELECT element_id, xmin + {SHIFT} AS xmin, ymin, xmax + {SHIFT} AS xmax, ymax
-  FROM element),
+  FROM raw_element WHERE n_vertex > 0),
 box AS (
   SELECT greatest(e.xmin, z.xmin) AS xmin, greatest(e.ymin, z.ymin) AS ymin,
     least(e.xmax, z.xmax) AS xmax, least(e.ymax, z.ymax) AS ymax
@@ -173,10 +182,7 @@ UNION ALL SELECT 'zone', CAST(zid AS BIGINT) FROM zbox m, box b
 WHERE m.xmin <= b.xmax AND m.xmax >= b.xmin AND m.ymin <= b.ymax AND m.ymax >= b.ymin""")
 def extent_overlap(spark, sf_dir):
     data = layers(spark, sf_dir)
-    moved = data.elements.withColumn(
-        "geom", F.expr(f"transform(geom, p -> named_struct('x', p.x + {SHIFT}, 'y', p.y))")
-    )
-    elements, zones = overlap_of_extents(moved, data.zones)
+    elements, zones = overlap_of_extents(_moved(data.elements), data.zones)
     return elements.select(
         F.lit("element").alias("layer"), F.col("element_id").alias("feature_id")
     ).unionByName(zones.select(F.lit("zone").alias("layer"), F.col("zone_id").alias("feature_id")))
@@ -346,7 +352,7 @@ FROM inter i LEFT JOIN element_type t USING (elementtype_code)
   LEFT JOIN process_type p USING (processtype_id)""")
 def import_lookup(spark, sf_dir):
     return risk.with_parameters(
-        overlay(spark, sf_dir).intersections, *_parameters(spark)
+        overlay(spark, sf_dir).intersections, *parameters(spark)
     ).select(
         "element_feature_id",
         "hazardzone_feature_id",
@@ -367,7 +373,7 @@ UNION ALL
 SELECT 'process_type', CAST(processtype_id AS VARCHAR), count(*) FROM inter
 WHERE processtype_id NOT IN (SELECT processtype_id FROM process_type) GROUP BY processtype_id""")
 def lookup_orphans(spark, sf_dir):
-    element_type, process_type = _parameters(spark)
+    element_type, process_type = parameters(spark)
     return risk.orphans(
         overlay(spark, sf_dir).intersections, element_type, process_type.where("processtype_id <> 2")
     )
@@ -378,14 +384,14 @@ SELECT CAST(1 AS BIGINT) AS study_id, eid AS element_id, pno AS piece_no, fid AS
   {sql.ES_COLUMNS} FROM es""")
 def element_summary(spark, sf_dir):
     """Of one study of several in the store."""
-    summary = stored(spark, sf_dir).element_summary(STUDY_ID, *_parameters(spark))
+    summary = stored(spark, sf_dir).element_summary(STUDY_ID, *parameters(spark))
     return _rounded(summary, **ES_DIGITS)
 
 
 @query(sql.RISK + f"SELECT CAST(1 AS BIGINT) AS study_id, route_code, {sql.RS_COLUMNS} FROM rs")
 def route_summary(spark, sf_dir):
     """Of one study of several in the store."""
-    summary = stored(spark, sf_dir).route_summary(STUDY_ID, *_parameters(spark))
+    summary = stored(spark, sf_dir).route_summary(STUDY_ID, *parameters(spark))
     return _rounded(summary, **RS_DIGITS)
 
 
@@ -393,7 +399,7 @@ def route_summary(spark, sf_dir):
 SELECT {sql.EAR_COLUMNS}, {sql.ES_COLUMNS} {sql.FROM_EAR} LEFT JOIN es ON es.fid = p.fid""")
 def element_summary_layer(spark, sf_dir):
     base = overlay(spark, sf_dir)
-    summary = risk.element_summary(base.intersections, *_parameters(spark))
+    summary = risk.element_summary(base.intersections, *parameters(spark))
     layer = risk.element_layer(base.split.ear.select("study_id", *EAR), summary)
     return _rounded(layer.drop("study_id"), element_size=3, **ES_DIGITS)
 
@@ -403,7 +409,7 @@ SELECT {sql.EAR_COLUMNS}, {sql.RS_COLUMNS} {sql.FROM_EAR}
 LEFT JOIN rs ON rs.route_code = e.route_code""")
 def route_summary_layer(spark, sf_dir):
     base = overlay(spark, sf_dir)
-    summary = risk.route_summary(base.intersections, *_parameters(spark))
+    summary = risk.route_summary(base.intersections, *parameters(spark))
     layer = risk.route_layer(base.split.ear.select("study_id", *EAR), summary)
     return _rounded(layer.drop("study_id"), element_size=3, **RS_DIGITS)
 
@@ -412,7 +418,7 @@ def route_summary_layer(spark, sf_dir):
 SELECT CAST(1 AS BIGINT) AS study_id, route_code, {sql.RS_COLUMNS} FROM rs""")
 def what_if_parameters(spark, sf_dir):
     """Route summary after an edit of a parameter table, over the stored overlay."""
-    element_type, process_type = _parameters(spark)
+    element_type, process_type = parameters(spark)
     edited = process_type.withColumn("closure_days", F.col("closure_days") * 2)
     pairs = overlay(spark, sf_dir).intersections
     return _rounded(risk.route_summary(pairs, element_type, edited), **RS_DIGITS)
@@ -569,7 +575,7 @@ graded AS (SELECT check_name,
 
 def _report(spark, sf_dir):
     base = overlay(spark, sf_dir)
-    return quality.load_report(base.split.ear, base.intersections, *_parameters(spark))
+    return quality.load_report(base.split.ear, base.intersections, *parameters(spark))
 
 
 INPUT_REPORT = """,
@@ -604,7 +610,7 @@ def input_report(spark, sf_dir):
     raw = fixtures.raw_elements(spark, sf_dir)
     number = F.when(F.col("route_code") != "R3", F.col("element_id"))
     lines = raw.unionByName(raw.where("route_code = 'R7'")).withColumn("element_id", number)
-    kinds, processes = _parameters(spark)
+    kinds, processes = parameters(spark)
     kinds = kinds.unionByName(kinds.where("elementtype_code = 'EV'"))
     text = raw.withColumn(
         "aadt_goods", F.expr("if(aadt_goods >= 100, 'many', CAST(aadt_goods AS STRING))")
@@ -637,8 +643,28 @@ def study_run(spark, sf_dir):
         "whole study",
         data.zones_path,
         data.elements_path,
-        *_parameters(spark),
+        *parameters(spark),
         extent=None,
     )
-    layer = result.route_layer.drop("study_id", "geom")
+    layer = result.route_layer.drop("study_id", "geom", "part_no")
     return _rounded(layer, element_size=3, **RS_DIGITS)
+
+
+@query(sql.split_sql(source=sql.extent_sql(SHIFT)) + sql.PAIRS + """
+SELECT check_name, CAST(n_rows AS BIGINT) AS n_rows FROM (
+  SELECT 'elements_read' AS check_name, count(*) AS n_rows FROM raw_element
+  UNION ALL SELECT 'elements_unusable', count(*) FILTER (element_id NOT IN (SELECT eid FROM seg0)) FROM raw_element
+  UNION ALL SELECT 'elements_kept', count(*) FROM element
+  UNION ALL SELECT 'elements_outside_extent', (SELECT count(DISTINCT eid) FROM seg0) - (SELECT count(*) FROM element)
+  UNION ALL SELECT 'zones_read', count(*) FROM zone0
+  UNION ALL SELECT 'zones_kept', count(*) FROM zone
+  UNION ALL SELECT 'zones_outside_extent', (SELECT count(*) FROM zone0) - (SELECT count(*) FROM zone)
+  UNION ALL SELECT 'rows_imported', count(*) FROM inter)""")
+def study_run_extent(spark, sf_dir):
+    """A whole study in the common extent of shifted elements and zones: what its report counts."""
+    data, stage = layers(spark, sf_dir), Stage(spark)
+    result = run_study(
+        spark, _store(spark), "shifted", data.zones_path, stage.write("moved", _moved(data.elements)), *parameters(spark)
+    )
+    names = [f"{layer}_{what}" for layer in ("elements", "zones") for what in ("read", "kept", "outside_extent")]
+    return result.report.where(F.col("check_name").isin([*names, "elements_unusable", "rows_imported"])).drop("severity")

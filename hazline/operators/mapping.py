@@ -65,3 +65,16 @@ def text_to_int(column: Column | str) -> Column:
     """Whole number from text, NULL where the text is not one."""
     column = F.col(column) if isinstance(column, str) else column
     return column.try_cast("bigint")
+
+
+def failed_cast(df: DataFrame, types: Mapping[str, T.DataType], mapping=None) -> dict[str, Column]:
+    """For each bound field that is not text: how many values its type cannot hold."""
+    counts = {}
+    for target, dtype in types.items():
+        found = resolve(df.columns, (mapping or {}).get(target, target))
+        if found is None or isinstance(dtype, T.StringType):
+            continue
+        value = F.col(f"`{found}`")
+        lost = value.isNotNull() & value.try_cast(dtype).isNull()
+        counts[target] = F.coalesce(F.sum(lost.cast("bigint")), F.lit(0))
+    return counts

@@ -88,10 +88,6 @@ def raw_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(lines(spark, sf_dir), "element_id", "left")
 
 
-def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_elements(spark, sf_dir).where(F.size("geom") >= 2)
-
-
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr(
         "p_partkey AS zone_id",

@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as driver
 from checks import queries as own
 from checks.compare import connect, difference
-from checks.inputs import STUDY_ID, stored
+from checks.inputs import STUDY_ID, parameters, stored
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -34,6 +34,6 @@ def test_entry(spark):
 
 
 def test_summaries_read_one_study(spark):
-    summary = stored(spark, SF_DIR).route_summary(STUDY_ID, *own._parameters(spark))
+    summary = stored(spark, SF_DIR).route_summary(STUDY_ID, *parameters(spark))
     plan = summary._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(study_id" in plan
