@@ -13,11 +13,10 @@ from pyspark.sql import functions as F
 
 from hazline.functions.geometry import dbl, explode_cells, explode_sub_cells
 
-# A cell with more boundaries than this is refined ...
+# A cell with more boundaries than this is refined.
 DENSE_CELL = 512
-# ... if it also holds more than this share of all: then there are fewer such cells than
-# the inverse of the share, and their list can be broadcast.
-DENSE_SHARE = 1 / 4096
+# Up to so many dense cells are a broadcast list, more are joined like any table.
+MOST_DENSE = 4096
 _MAX_REFINEMENT = 12
 
 _KEY = ["qx", "qy", "px", "py"]
@@ -62,25 +61,21 @@ def boundaries(edge: DataFrame, seg: DataFrame | None = None) -> DataFrame:
 
 
 def dense_cells(cells: DataFrame) -> DataFrame | None:
-    """(gx, gy, k) of the cells to be refined 2^k by 2^k, None where there are none.
-
-    At most 1 / DENSE_SHARE rows pass through the driver, whatever the data.
-    """
+    """(gx, gy, k) of the cells to be refined 2^k by 2^k, None where there are none."""
     counts = cells.groupBy("gx", "gy").agg(F.count("*").alias("n"))
-    row = counts.agg(F.sum("n").alias("total"), F.max("n").alias("top")).first()
-    limit = max(DENSE_CELL, (row["total"] or 0) * DENSE_SHARE)
-    if (row["top"] or 0) <= limit:
-        return None
     level = F.ceil(F.log2(F.col("n") / DENSE_CELL) / 2) + 2
-    dense = counts.where(F.col("n") > limit).select(
+    dense = counts.where(F.col("n") > DENSE_CELL).select(
         "gx", "gy", F.least(level, F.lit(_MAX_REFINEMENT)).cast("int").alias("k")
     )
-    return cells.sparkSession.createDataFrame(dense.collect(), dense.schema)
+    few = dense.limit(MOST_DENSE + 1).collect()
+    if len(few) > MOST_DENSE:
+        return dense
+    return F.broadcast(cells.sparkSession.createDataFrame(few, dense.schema)) if few else None
 
 
 def _refine(cells: DataFrame, dense: DataFrame, size: float, slack: float) -> DataFrame:
     return explode_sub_cells(
-        cells.join(F.broadcast(dense), ["gx", "gy"], "left").withColumn(
+        cells.join(dense, ["gx", "gy"], "left").withColumn(
             "k", F.coalesce("k", F.lit(0))
         ),
         size,
@@ -158,9 +153,9 @@ def cut_points(
 ) -> DataFrame:
     """Cuts (eid, sn, t) with 0 <= t < 1, at the segment that starts at or holds the cut.
 
-    Both sides meet on the grid cell, an equality key. A cell that holds a large share of
-    all boundaries is refined until its cells are as full as others, so the pairs tried
-    stay in proportion to the segments. A crossing in a shared cell border shows up in
+    Both sides meet on the grid cell, an equality key. A cell that holds many boundaries is
+    refined until its cells are as full as others, so the pairs tried stay in proportion to the
+    segments. A crossing in a shared cell border shows up in
     each cell; the caller merges equal cuts.
     """
     left = explode_cells(seg.select(*_SEGMENT), size, tolerance)

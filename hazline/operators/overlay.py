@@ -86,10 +86,11 @@ def intersect(split: Split, zones: DataFrame, stage: Stage, min_size: float = 0.
     sized = split.pieces.where(
         (F.col("element_size") > 0) & (F.col("element_size") >= F.lit(float(min_size)))
     )
-    keep = [*EAR_FIELDS, *PIECE_KEY, "element_size"]
-    pairs = piece_zone_pairs(sized, edge, split.cell_size, stage, keep, split.tolerance)
+    # the search carries keys and points only; attributes follow for the pairs found
+    pairs = piece_zone_pairs(sized, edge, split.cell_size, stage, PIECE_KEY, split.tolerance)
     return (
-        pairs.join(active, "zid")
+        pairs.join(sized.select(*PIECE_KEY, *EAR_FIELDS, "element_size"), PIECE_KEY)
+        .join(active, "zid")
         .withColumnRenamed("zid", "hazardzone_feature_id")
         .select(*[F.col(f.name).cast(f.dataType) for f in INTERSECTION])
     )

@@ -66,9 +66,10 @@ def test_large_zone_with_inner_blocks_of_several_levels(spark):
     assert_same(engine_overlay(spark, lines, zones, 3.0), brute.overlay(lines, zones))
 
 
-def test_dense_cells_are_refined(spark, monkeypatch):
+@pytest.mark.parametrize("listed", [4096, 2])
+def test_dense_cells_are_refined(spark, monkeypatch, listed):
     monkeypatch.setattr(cuts, "DENSE_CELL", 3)
-    monkeypatch.setattr(cuts, "DENSE_SHARE", 0)
+    monkeypatch.setattr(cuts, "MOST_DENSE", listed)
     lines, zones = random_layers(7)
     assert_same(engine_overlay(spark, lines, zones, 23.0), brute.overlay(lines, zones))
 

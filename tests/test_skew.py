@@ -35,7 +35,7 @@ def test_copies_of_a_zone_are_one_boundary(spark):
     assert boundaries(edge).count() < edge.count() - 4 * 18
 
 
-def test_list_of_dense_cells_is_bounded_by_the_share(spark):
+def test_cells_of_usual_size_are_not_refined(spark):
     _, zones = hot_layers()
     cells = explode_cells(edges(zones_df(spark, zones)), 5.0)
     assert dense_cells(cells) is None  # below the absolute limit
