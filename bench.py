@@ -1,19 +1,28 @@
 """Headline timings as one JSON line.
 
 Runs at $BENCH_SF_DIR on local[$BENCH_CPUS]. The layers are derived from the test tables
-and stored first ("prepare"); each query then runs once, whole, into a sink that discards
-its rows. "overlay" is the reference workload: split, intersection and store of a study.
+and stored first ("prepare"), a store of two studies before the summaries
+("stored_studies"); each query runs once, whole, into a sink that discards its rows. "overlay" is the reference workload: split, intersection and store of a study.
 """
 
 import json
 import os
 import time
 
-from checks.inputs import layers, overlay
+from checks.inputs import layers, overlay, parameters, stored
 from checks.queries import QUERIES
 from hazline.session import local_session
 
-OVERLAY = ["split_cuts", "ear_pieces", "split_at_elements", "element_hazard_pairs", "intersection_table", "study_run"]
+OVERLAY = [
+    "split_cuts",
+    "ear_pieces",
+    "ear_multipart",
+    "ear_fractional",
+    "split_at_elements",
+    "element_hazard_pairs",
+    "intersection_table",
+    "study_run",
+]
 SUMMARY = [
     "element_summary",
     "route_summary",
@@ -39,10 +48,11 @@ def main():
     def run(name):
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
-    timed("prepare", lambda: layers(spark, sf_dir))
+    timed("prepare", lambda: (layers(spark, sf_dir), parameters(spark)))
     for name in OVERLAY:
         timed(name, lambda: run(name))
     timed("stored_overlay", lambda: overlay(spark, sf_dir))
+    timed("stored_studies", lambda: stored(spark, sf_dir))
     for name in SUMMARY:
         timed(name, lambda: run(name))
     total = round(sum(times.values()), 3)
