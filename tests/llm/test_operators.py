@@ -332,7 +332,8 @@ def test_top_k(spark):
     for q in range(0, 400, 50):
         best = sorted((-sum(a * b for a, b in zip(points[q], points[i], strict=True)), i) for i in points if i != q)[:5]
         want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
-    assert {tuple(r) for r in got} == want
+    assert {(r.query_id, r.rank, r.vec_id, r.score) for r in got} == want
+    assert {r.query_copy for r in got} == {1}
 
 
 def test_shards(spark, docs, rows):
