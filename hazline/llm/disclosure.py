@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hazline.llm.common import Stage, bigint, slices, texts, utf8
+from hazline.llm.common import Stage, bigint, lean, slices, texts, utf8
 
 # The patterns of the four base kinds, and of secrets.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -204,7 +204,7 @@ def find(docs: DataFrame, reach: int) -> DataFrame:
                     )
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return texts(docs).mapInArrow(run, FOUND)
+    return texts(docs).mapInArrow(lean(run), FOUND)
 
 
 def hash_filter(hashes: DataFrame, column: str, n_bits: int) -> bytes:
@@ -251,7 +251,7 @@ def term_counts(docs: DataFrame, bits: bytes) -> DataFrame:
             del seen[None]
             yield made()
 
-    rows = texts(docs).select("text").mapInArrow(run, "term long, n long")
+    rows = texts(docs).select("text").mapInArrow(lean(run), "term long, n long")
     return rows.groupBy("term").agg(F.sum("n").alias("n"))
 
 
@@ -310,7 +310,7 @@ def marks(docs: DataFrame, bits: bytes) -> DataFrame:
                     [pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
                 )
 
-    return texts(docs).mapInArrow(run, MARKS)
+    return texts(docs).mapInArrow(lean(run), MARKS)
 
 
 def protect(
@@ -385,10 +385,10 @@ def sanitise(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
             old = batch.schema.field(text_at)
             yield batch.drop_columns(["spans"]).set_column(text_at, old, pa.array(made, old.type))
 
-    keyed = inner.mapInArrow(keys, T.StructType([*inner.schema.fields, bigint("own_key")]))
+    keyed = inner.mapInArrow(lean(keys), T.StructType([*inner.schema.fields, bigint("own_key")]))
     same = F.col(f"c{own_id}").cast("long").eqNullSafe(F.col("span_id")) & (F.col("own_key") == F.col("span_key"))
     joined = keyed.join(spans, same, "left").select(*inner.columns, "spans")
-    clean = joined.mapInArrow(run, inner.schema)
+    clean = joined.mapInArrow(lean(run), inner.schema)
     if "n_chars" in docs.columns:
         count = f"c{docs.columns.index('n_chars')}"
         clean = clean.withColumn(count, F.length(field.name).cast(docs.schema["n_chars"].dataType))

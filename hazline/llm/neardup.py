@@ -25,6 +25,7 @@ NULL ids stay NULL and rank last as class id, rows that repeat an id get their t
 
 import hashlib
 import re
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +33,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hazline.llm.common import Stage, bigint, slices, texts, utf8
+from hazline.llm.common import Stage, bigint, lean, slices, texts, utf8
 from hazline.llm.words import ODD, mixed, shared_hashes
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 SHINGLE = 5
 BANDS, ROWS = 32, 5
+# Links that one task of the component search takes, and the fewest tasks of it.
+TASK_LINKS, LEAST_TASKS = 20_000, 8
 
 SIGNED = T.StructType(
     [
@@ -141,7 +144,7 @@ def sign(docs: DataFrame) -> DataFrame:
                     schema=schema,
                 )
 
-    return texts(docs).mapInArrow(run, SIGNED)
+    return texts(docs).mapInArrow(lean(run), SIGNED)
 
 
 def overlaps(left: list[str], right: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -172,25 +175,33 @@ def verified(pairs: DataFrame, words: DataFrame, tenths: int) -> DataFrame:
     one = words.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     two = words.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(one, "a").join(two, "b")
-    return both.mapInArrow(run, "a binary, b binary")
+    return both.mapInArrow(lean(run), "a binary, b binary")
 
 
 def components(stage: Stage, links: DataFrame) -> DataFrame:
-    """node, root of every linked node, by alternating large-star and small-star steps."""
-    edges = stage.put("edges", links.select("a", "b").where("a <> b").distinct())
+    """node, root of every linked node, by alternating large-star and small-star steps.
+
+    A step is as many tasks as the links need, so a small graph is no file per shuffle partition.
+    """
+    tasks = max(LEAST_TASKS, ceil(links.count() / TASK_LINKS))
+
+    def put(name: str, rows: DataFrame) -> DataFrame:
+        return stage.put(name, rows.coalesce(tasks))
+
+    edges = put("edges", links.select("a", "b").where("a <> b").distinct())
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = stage.put("large", large.where("a <> b").distinct())
+        large = put("large", large.where("a <> b").distinct())
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(least, "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             least.select("a", F.col("m").alias("b"))
         )
-        edges = stage.put("small", small.where("a <> b").distinct())
+        edges = put("small", small.where("a <> b").distinct())
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % (1 << 40))).first()
         if state == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -213,7 +224,7 @@ def shingle_rows(nodes: DataFrame) -> DataFrame:
                 node = piece.column("node").take(pa.array(owner))
                 yield pa.RecordBatch.from_arrays([node, pa.array(token), pa.array(size)], schema=schema)
 
-    return nodes.select("node", "text").mapInArrow(run, "node binary, token long, size long")
+    return nodes.select("node", "text").mapInArrow(lean(run), "node binary, token long, size long")
 
 
 def across_components(stage: Stage, open_nodes: DataFrame, words: DataFrame, tenths: int) -> DataFrame:

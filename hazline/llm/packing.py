@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from hazline.llm.common import SLICE, bigint, slices, texts
+from hazline.llm.common import SLICE, bigint, lean, slices, texts
 from hazline.llm.tokens import shared_encoder
 
 PIECES = T.StructType(
@@ -211,4 +211,4 @@ def pack(
             place(window)
         yield flush()
 
-    return texts(docs).mapInArrow(run, PIECES)
+    return texts(docs).mapInArrow(lean(run), PIECES)

@@ -22,6 +22,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from hazline.llm.common import shared
+
 # white space other than the plain space, as a class of the regular expressions of Arrow
 _SPACES = r"\t-\r\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _RUN = rf"  |[{_SPACES}] (?:[{_SPACES} ]|\z)"
@@ -234,12 +236,7 @@ class Encoder:
         return [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
-_SHARED: dict[tuple, Encoder] = {}
-
-
 def shared_encoder(path: str, split: str, plain_specials: bool = False) -> Encoder:
     """One encoder per worker process, so that its cache serves all tasks that run there."""
     key = path, split, plain_specials
-    if key not in _SHARED:
-        _SHARED[key] = Encoder(path, split, plain_specials=plain_specials)
-    return _SHARED[key]
+    return shared("encoders", key, lambda: Encoder(path, split, plain_specials=plain_specials))

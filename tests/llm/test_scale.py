@@ -201,3 +201,55 @@ def test_encoder_keeps_its_cache_small():
         want = [row.ids for row in whole.encode_batch_fast(texts, add_special_tokens=False)]
         assert [np.frombuffer(b, "<u4").tolist() for b in own.encode(texts)] == want
     assert len(own.pool.words) <= 40 + 60
+
+
+# what a worker keeps, and small graphs
+
+
+def test_a_worker_keeps_the_caches_of_one_step():
+    from hazline.llm.tokens import shared_encoder
+    from hazline.llm.words import shared_hashes
+
+    words = shared_hashes()
+    assert shared_hashes() is words
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder = shared_encoder(path, "drop_space")
+    assert shared_encoder(path, "drop_space") is encoder
+    assert shared_hashes() is not words  # the encoder took the place of the words
+    assert shared_encoder(path, "drop_space") is not encoder
+
+
+def test_a_task_gives_its_memory_back():
+    import re
+    from pathlib import Path
+
+    from hazline.llm.common import lean
+
+    def held():
+        return int(re.search(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) // 1024
+
+    def run(batches):
+        for n in batches:
+            rows = [bytes(1000 + i % 7) for i in range(n)]
+            keep.append(bytes(1000))  # the top of the heap stays in use
+            yield len(rows)
+
+    keep = []
+    before = held()
+    assert list(lean(run)([100_000])) == [100_000]
+    assert held() - before < 40
+
+
+def test_a_small_graph_is_few_files(spark, tmp_path):
+    links = spark.createDataFrame([(bytes([0, i]), bytes([1, i])) for i in range(200)], "a binary, b binary")
+    former = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        found = neardup.components(Stage(spark, str(tmp_path)), links).collect()
+    finally:
+        for k, v in former.items():
+            spark.conf.set(k, v)
+    assert {(bytes(r.node), bytes(r.root)) for r in found} == {(bytes([1, i]), bytes([0, i])) for i in range(200)}
+    tables = list(tmp_path.glob("stage-*/*"))
+    assert tables and all(len(list(t.glob("part-*"))) <= neardup.LEAST_TASKS for t in tables)
