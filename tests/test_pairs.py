@@ -1,0 +1,50 @@
+"""What a point meets in its border cell is added up in the task that found it."""
+
+import random
+
+import pytest
+
+from hazline.operators import pairs as operator
+from hazline.operators.overlay import split_at_zones
+from hazline.operators.pairs import piece_zone_pairs
+from hazline.session import Stage
+from tests.layers import elements_df, zones_df
+
+KEEP = ["element_id", "piece_no"]
+
+
+def _split(spark):
+    """Zones of several sizes over each other, copies of one zone, and lines that cross them."""
+    rng = random.Random(8)
+
+    def square(x, y, r):
+        return [[(x, y), (x + r, y), (x + r, y + r), (x, y + r)]]
+
+    zones = {i: square(rng.randrange(80), rng.randrange(80), rng.choice([3, 10, 30])) for i in range(60)}
+    zones |= {100 + i: square(40, 40, 12) for i in range(20)}
+    lines = {i: [(rng.randrange(90), rng.randrange(90)) for _ in range(4)] for i in range(30)}
+    lines |= {100 + i: [(35, 44), (60, 47)] for i in range(20)}
+    stage = Stage(spark)
+    return split_at_zones(elements_df(spark, lines), zones_df(spark, zones), 1, stage, geometry=False), stage
+
+
+def _pairs(split, stage, size):
+    return piece_zone_pairs(split.pieces, split.edge, size, stage, KEEP)
+
+
+def test_hits_are_not_shuffled(spark):
+    split, stage = _split(spark)
+    plan = _pairs(split, stage, split.cell_size)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [gx" in plan
+    assert "Exchange hashpartitioning(element_id" not in plan
+
+
+@pytest.mark.parametrize("size", [5.0, 100.0])
+def test_hot_cells_are_dealt(spark, monkeypatch, size):
+    split, stage = _split(spark)
+    whole = {tuple(r) for r in _pairs(split, stage, size).collect()}
+    monkeypatch.setattr(operator, "TASK_HITS", 100)
+    dealt = _pairs(split, stage, size)
+    assert "share" in dealt._jdf.queryExecution().executedPlan().toString()
+    rows = [tuple(r) for r in dealt.collect()]
+    assert whole and len(rows) == len(whole) and set(rows) == whole
