@@ -5,7 +5,7 @@ import random
 import pytest
 
 from hazline.operators import pairs as operator
-from hazline.operators.overlay import split_at_zones
+from hazline.operators.overlay import intersect, split_at_zones
 from hazline.operators.pairs import piece_zone_pairs
 from hazline.session import Stage
 from tests.layers import elements_df, zones_df
@@ -48,3 +48,11 @@ def test_hot_cells_are_dealt(spark, monkeypatch, size):
     assert "share" in dealt._jdf.queryExecution().executedPlan().toString()
     rows = [tuple(r) for r in dealt.collect()]
     assert whole and len(rows) == len(whole) and set(rows) == whole
+
+
+def test_intersections_are_not_shuffled(spark):
+    split, stage = _split(spark)
+    zones = zones_df(spark, {1: [[(40, 40), (52, 40), (52, 52), (40, 52)]]})
+    plan = intersect(split, zones, stage)._jdf.queryExecution().executedPlan().toString()
+    above, _, _ = plan.partition("SortMergeJoin [gx")
+    assert above != plan and "Exchange" not in above
