@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as driver
+from checks import inputs
 from checks import queries as own
 from checks.compare import connect, difference
 from checks.inputs import STUDY_ID, parameters, stored
@@ -37,3 +38,11 @@ def test_summaries_read_one_study(spark):
     summary = stored(spark, SF_DIR).route_summary(STUDY_ID, *parameters(spark))
     plan = summary._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(study_id" in plan
+
+
+def test_store_holds_the_only_copy(spark, monkeypatch):
+    for name in ("_OVERLAYS", "_STORES"):
+        monkeypatch.setattr(inputs, name, {})
+    for name in ("import_append", "import_replace", "import_lookup", "element_summary"):
+        own.QUERIES[name](spark, SF_DIR)
+    assert not inputs._OVERLAYS
