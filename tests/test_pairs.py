@@ -1,12 +1,17 @@
 """What a point meets in its border cell is added up in the task that found it."""
 
+import dataclasses
 import random
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from hazline.functions.geometry import edges
 from hazline.operators import pairs as operator
 from hazline.operators.overlay import intersect, split_at_zones
 from hazline.operators.pairs import piece_zone_pairs
+from hazline.operators.tessellate import EDGE, SECOND, border_cells, border_edges
 from hazline.session import Stage
 from tests.layers import elements_df, zones_df
 
@@ -56,3 +61,57 @@ def test_intersections_are_not_shuffled(spark):
     plan = intersect(split, zones, stage)._jdf.queryExecution().executedPlan().toString()
     above, _, _ = plan.partition("SortMergeJoin [gx")
     assert above != plan and "Exchange" not in above
+
+
+def _plan(pairs):
+    return pairs._jdf.queryExecution().executedPlan()
+
+
+@pytest.mark.parametrize("tolerance", [0.0, 0.5])
+def test_rows_are_shuffled_once(spark, monkeypatch, tolerance):
+    monkeypatch.setattr(operator, "SMALL_TASK_HITS", 1)
+    split, stage = _split(spark)
+    pairs = piece_zone_pairs(split.pieces, split.edge, split.cell_size, stage, KEEP, tolerance)
+    plan = _plan(pairs).toString()
+    assert "REPARTITION_BY_NUM" in plan and "ENSURE_REQUIREMENTS" not in plan
+
+
+@pytest.mark.parametrize("tolerance", [0.0, 0.5])
+def test_the_jvm_compiles_the_search(spark, tolerance):
+    """HotSpot leaves methods of more than 8,000 bytes of code to its interpreter."""
+    split, stage = _split(spark)
+    zones = zones_df(spark, {1: [[(40, 40), (52, 40), (52, 52), (40, 52)]]}).select(F.col("zone_id").alias("zid"), "event_frequency")
+    former = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # adaptive plans have no code before they run
+    try:
+        pairs = piece_zone_pairs(split.pieces, split.edge, split.cell_size, stage, KEEP, tolerance, zones)
+        code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(_plan(pairs))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", former)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_border_cells_hold_their_two_edges(spark):
+    """A cell with a corner is decided in one row, also where both edges are the same."""
+    corner = zones_df(spark, {1: [[(2, 2), (30, 2), (30, 30), (2, 30)]], 2: [[(2, 2), (30, 2), (2, 2)]]})
+    cells = border_cells(border_edges(edges(corner), 10.0))
+    for row in cells.where("gx = 0 AND gy = 0").collect():
+        first, second = ([row[name] for name in names] for names in (EDGE, SECOND))
+        ends = sorted(sorted([tuple(edge[1:3]), tuple(edge[3:5])]) for edge in (first, second))
+        assert row.n_edges == 2
+        assert ends == ([[(2, 2), (2, 30)], [(2, 2), (30, 2)]] if row.zid == 1 else [[(2, 2), (30, 2)]] * 2)
+
+
+def test_rows_of_a_zone_that_repeats(spark):
+    """Each row of a zone's id gives its own intersections, also where the rows are equal."""
+    zone = {1: [[(40, 40), (52, 40), (52, 52), (40, 52)]]}
+    split, stage = _split(spark)
+    zones = zones_df(spark, zone).unionByName(zones_df(spark, zone, 50.0))
+    for size in (split.cell_size, 400.0):
+        sized = dataclasses.replace(split, cell_size=size)
+        once = intersect(sized, zones_df(spark, zone), stage).count()
+        # a zone's edges count by id: three equal rings hold what one holds
+        rows = intersect(sized, zones.unionByName(zones_df(spark, zone)), stage)
+        assert once and rows.count() == 3 * once
+        assert {r[0]: r[1] for r in rows.groupBy("event_frequency").count().collect()} == {100.0: 2 * once, 50.0: once}
