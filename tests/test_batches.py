@@ -107,3 +107,37 @@ def test_shuffles_are_dropped_at_the_end_of_a_query(spark):
         Stage(spark).put("rows", spark.range(1000).groupBy(F.expr("id % 10")).count())
         assert files() <= before
     assert spark.conf.get(name, None) == setting
+
+
+def _written(spark, data, monkeypatch, folder):
+    """Own rows as a data folder, and the names and columns of the tables that queries over it store."""
+    elements, zones, *_ = data
+    monkeypatch.setitem(inputs._LAYERS, inputs._key(spark, folder), inputs.Layers(elements, zones, "", ""))
+    written, real = [], Stage.write
+    monkeypatch.setattr(Stage, "write", lambda stage, name, df: written.append((name, df.columns)) or real(stage, name, df))
+    return written
+
+
+@pytest.mark.parametrize("name", ["ear_pieces", "ear_geometry", "split_at_elements"])
+def test_pieces_that_are_read_once_are_not_stored(spark, data, monkeypatch, name):
+    folder = f"{name} of {__name__}"
+    written = _written(spark, data, monkeypatch, folder)
+    pieces = QUERIES[name](spark, folder)
+    assert pieces.count() >= data[2].ear.count()
+    assert "pieces" not in [each for each, _ in written] and "cuts" in [each for each, _ in written]
+    plan = pieces._jdf.queryExecution().executedPlan().toString()
+    assert ("collect_list" in plan) == (name == "ear_geometry")
+    if name == "ear_pieces":
+        own = ["element_id", "piece_no", "route_code", "round(element_size, 3) AS size"]
+        assert _rows([pieces.selectExpr(*own)]) == _rows([data[2].ear.selectExpr(*own)])
+
+
+def test_steps_of_the_overlay_drop_their_shuffles(spark, data):
+    def files():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(blocks.apply(i).getName().startswith("shuffle_") for i in range(blocks.size()))
+
+    elements, zones, *_ = data
+    before = files()
+    intersect(split_at_zones(elements, zones, 1, Stage(spark)), zones, Stage(spark))
+    assert files() <= before
