@@ -118,6 +118,14 @@ def _written(spark, data, monkeypatch, folder):
     return written
 
 
+def test_what_is_only_counted_has_no_geometry(spark, data, monkeypatch):
+    folder = f"counted rows of {__name__}"
+    written = _written(spark, data, monkeypatch, folder)
+    assert QUERIES["load_report"](spark, folder).count() == 8
+    pieces = [columns for name, columns in written if name == "pieces"]
+    assert pieces and not any("geom" in columns for columns in pieces)
+
+
 @pytest.mark.parametrize("name", ["ear_pieces", "ear_geometry", "split_at_elements"])
 def test_pieces_that_are_read_once_are_not_stored(spark, data, monkeypatch, name):
     folder = f"{name} of {__name__}"
