@@ -140,6 +140,16 @@ def test_pieces_that_are_read_once_are_not_stored(spark, data, monkeypatch, name
         assert _rows([pieces.selectExpr(*own)]) == _rows([data[2].ear.selectExpr(*own)])
 
 
+def test_ear_output_replace_stores_pieces_in_the_store_only(spark, data, monkeypatch):
+    folder = f"ear rows of {__name__}"
+    written = _written(spark, data, monkeypatch, folder)
+    ear = QUERIES["ear_output_replace"](spark, folder)
+    assert "pieces" not in [name for name, _ in written]
+    own = ["study_id", "element_id", "piece_no", "route_code", "round(element_size, 3) AS size"]
+    once = data[2].ear.selectExpr(*own)
+    assert _rows([ear.selectExpr(*own)]) == _rows([once, once.withColumn("study_id", F.lit(2))])
+
+
 def test_steps_of_the_overlay_drop_their_shuffles(spark, data):
     def files():
         blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
