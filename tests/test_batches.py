@@ -150,6 +150,13 @@ def test_ear_output_replace_stores_pieces_in_the_store_only(spark, data, monkeyp
     assert _rows([ear.selectExpr(*own)]) == _rows([once, once.withColumn("study_id", F.lit(2))])
 
 
+def test_piece_lengths_are_added_up_as_pieces_are_cut(spark, data, monkeypatch):
+    folder = f"lengths of {__name__}"
+    written = _written(spark, data, monkeypatch, folder)
+    assert QUERIES["piece_length"](spark, folder).count() > 0
+    assert "pieces" not in [name for name, _ in written]
+
+
 def test_steps_of_the_overlay_drop_their_shuffles(spark, data):
     def files():
         blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
